@@ -31,7 +31,7 @@ SELECT o_orderkey AS order_id, {_store('o_orderkey')} AS store, o_custkey AS cus
   o_orderdate + to_hours(o_orderkey % 24) AS placed, copy, {_sub} AS subtotal, {_share(_sub, '0.08')} AS tax,
   CASE WHEN o_orderstatus = 'F' THEN {_share(_sub, '0.05')} ELSE 0.00::DECIMAL(18,2) END AS discounts, {_refund} AS refund,
   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 7 = 0 THEN 'customer' END AS cancel, o_orderstatus,
-  CASE WHEN o_custkey % 41 <> 0 THEN (o_custkey % 300) || CASE WHEN o_custkey % 2 = 0 THEN ' Main St.' ELSE ' main st' END END AS street,
+  CASE WHEN o_custkey % 41 <> 0 THEN (o_custkey % 300) || [' Main St.', ' main st', ' Main  Street', ' North main st, Suite #2'][o_custkey % 4 + 1] END AS street,
   CASE WHEN o_custkey % 41 <> 0 THEN (c_nationkey + 90000) || CASE WHEN o_custkey % 2 = 1 THEN '-1234' ELSE '' END END AS zip,
   CASE WHEN c_nationkey < 20 THEN 'US' ELSE 'CA' END AS country,
   CASE WHEN o_orderkey % 17 <> 0 THEN 'City ' || ((o_custkey + o_orderkey) % 4) END AS city,
@@ -46,7 +46,8 @@ cte("feed_parts", """
 SELECT *,
   CASE p_type WHEN 'PROMO' THEN 'SA-' WHEN 'SMALL' THEN 'KIT' WHEN 'STANDARD' THEN 'FL-' WHEN 'LARGE' THEN 'FL-'
     WHEN 'ECONOMY' THEN 'AC-' ELSE 'XX-' END || ['MR', 'SR', 'AR', 'PE'][p_size % 4 + 1] || '-' || p_partkey || '-'
-    || ['S-1', 'B-1', 'C-1', '7-1', 'X-1'][p_size % 5 + 1] AS sku,
+    || ['S', 'B', 'C', '7', 'X'][p_size % 5 + 1] || '-'
+    || ['S', 'B', 'C', '7', '7T', '7210', '4805', '1'][p_partkey % 8 + 1] AS sku,
   p_name || CASE p_size % 25 WHEN 0 THEN ' Nosing' WHEN 3 THEN ' Plank' WHEN 7 THEN ' Cut' ELSE '' END AS title
 FROM part
 """)

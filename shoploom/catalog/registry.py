@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oracle import models as _results  # noqa: F401  (registers the named statements)
 from oracle.sql import full, plain
 from shoploom.catalog.shop import Shop
 

@@ -74,7 +74,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     cancel = F.when(failed & (key % 7 == 0), "customer")
     has_address = cust % 41 != 0
     nation = F.col("c_nationkey")
-    street = F.when(cust % 2 == 0, " Main St.").otherwise(" main st")
+    street = _case(cust % 4, ((0, " Main St."), (1, " main st"), (2, " Main  Street")), F.lit(" North main st, Suite #2"))
     state_no = F.pmod(nation + F.when(key % 7 == 0, 1).otherwise(0), F.lit(25))
     address = {
         "address_1": F.when(has_address, F.concat((cust % 300).cast("string"), street)),
@@ -130,8 +130,9 @@ def _sku(part_key: Column) -> Column:
     )
     size = F.col("p_size")
     line = _case(size % 4, ((0, "MR"), (1, "SR"), (2, "AR")), F.lit("PE"))
-    category = _case(size % 5, ((0, "S-1"), (1, "B-1"), (2, "C-1"), (3, "7-1")), F.lit("X-1"))
-    return F.concat(prefix, line, F.lit("-"), part_key.cast("string"), F.lit("-"), category)
+    category = _case(size % 5, ((0, "S"), (1, "B"), (2, "C"), (3, "7")), F.lit("X"))
+    tail = F.element_at(F.array(*[F.lit(v) for v in ("S", "B", "C", "7", "7T", "7210", "4805", "1")]), (part_key % 8 + 1).cast("int"))
+    return F.concat_ws("-", F.concat(prefix, line), part_key.cast("string"), category, tail)
 
 
 def _title() -> Column:
