@@ -1,6 +1,6 @@
 """Every registered query by name."""
 
-from shoploom.catalog import consumers, models, operators  # noqa: F401
+from shoploom.catalog import consumers, declared_tests, kpis, models, operators  # noqa: F401
 from shoploom.catalog.registry import CHECKS, PLANS, runner
 
 
