@@ -118,7 +118,7 @@ class Shop:
 
     @cached_property
     def fct_orders_plan(self) -> DataFrame:
-        return c.fct_orders(self.lifetime, self.funnel)
+        return c.fct_orders(self.classified, self.funnel)
 
     @cached_property
     def fct_orders(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 64
@@ -34,9 +34,11 @@ def left_join_sparse(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     `NULL_SPREAD` values of a helper column that is 0 for every real key.
     """
     spare = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
+    # Always 0, but not a literal: a literal would be folded away and leave the key alone.
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
     return (
         left.withColumn("_spread", spare)
-        .join(right.withColumn("_spread", F.lit(0)), [key, "_spread"], "left")
+        .join(right.withColumn("_spread", zero), [key, "_spread"], "left")
         .drop("_spread")
     )
 
@@ -67,3 +69,17 @@ def most_common(df: DataFrame, key: str, columns: Mapping[str, str], where=None)
 
 def zero_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Exact distinct count per key of each value (`{output: value}`); NULLs are not counted.
+
+    Only (key, output, value) travels, once per non-null value, instead of the whole row once per
+    count; duplicates fall away before the shuffle, and a hot key is spread over its values.
+    """
+    cells = [F.struct(F.lit(i).alias("output"), v.cast("string").alias("value")) for i, v in enumerate(values.values())]
+    seen = (
+        df.select(*keys, F.explode(F.array(*cells)).alias("cell")).filter(F.col("cell.value").isNotNull())
+        .select(*keys, "cell.output", "cell.value").distinct()
+    )
+    return seen.groupBy(*keys).agg(*[F.count_if(F.col("output") == i).alias(n) for i, n in enumerate(values)])

@@ -26,6 +26,7 @@ def running_totals(
     order: Sequence[str],
     totals: Mapping[str, Column],
     first: Mapping[str, Column] | None = None,
+    beside: DataFrame | None = None,
 ) -> DataFrame:
     """Running sums per `key` in `order`, plus minima over the whole key (`first`).
 
@@ -33,6 +34,9 @@ def running_totals(
     (key, step) are taken first and carried forward over steps; rows then only need a window
     inside their own (key, step). A key holding a large part of all rows is thus spread over
     its steps instead of being sorted in one task.
+
+    `beside` holds further columns, one row per key: they are joined to the narrow carried sums,
+    so the wide rows are never shuffled by the key alone.
     """
     names, first = list(totals), first or {}
     per_step = df.groupBy(key, step).agg(
@@ -45,6 +49,8 @@ def running_totals(
         *[F.sum(f"_step_{n}").over(before).alias(f"_before_{n}") for n in names],
         *[F.min(f"_step_{n}").over(W.partitionBy(key)).alias(n) for n in first],
     )
+    if beside is not None:
+        carried = carried.join(beside, key, "left")
     inside = W.partitionBy(key, step).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     joined = df.join(carried, [key, step])
     return joined.withColumns(

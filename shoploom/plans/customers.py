@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
-from shoploom.operators.relational import left_join_sparse, most_common, zero_fill
+from shoploom.operators.relational import distinct_counts, left_join_sparse, most_common, zero_fill
 from shoploom.operators.windows import running_totals
 
 ORDER_KEY = ["order_id", "store"]
@@ -28,17 +28,20 @@ def roll_up_lines(lines: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col("sample_type") == kind, F.col("sample_quantity")).otherwise(0))
 
     is_sample = F.col("line_item_type") == rules.SAMPLE
-    return lines.groupBy(*ORDER_KEY).agg(
-        *[F.sum(c).alias(out) for out, c in _LINE_SUMS.items()],
-        F.count("*").alias("line_item_count"), F.count_distinct("sku").alias("distinct_sku_count"),
+    sums = lines.groupBy(*ORDER_KEY).agg(
+        *[F.sum(c).alias(out) for out, c in _LINE_SUMS.items()], F.count("*").alias("line_item_count"),
         of_type(rules.SAMPLE_CUT).alias("cut_sample_quantity"), of_type(rules.SAMPLE_PLANK).alias("plank_sample_quantity"),
-        F.count_distinct(F.when(F.col("sample_quantity") > 0, F.col("color"))).alias("sample_color_count"),
-        F.count_distinct(F.when(F.col("product_quantity") > 0, F.col("color"))).alias("product_color_count"),
         *[
             F.max(x.flag(is_sample & x.like_any("sku", patterns))).alias(f"sampled_{name}")
             for name, _, patterns in rules.CATEGORIES
         ],
     )
+    counts = {
+        "distinct_sku_count": F.col("sku"),
+        "sample_color_count": F.when(F.col("sample_quantity") > 0, F.col("color")),
+        "product_color_count": F.when(F.col("product_quantity") > 0, F.col("color")),
+    }
+    return zero_fill(sums.join(distinct_counts(lines, ORDER_KEY, counts), ORDER_KEY, "left"), list(counts))
 
 
 def with_household(orders: DataFrame, abbreviations: bool = False) -> DataFrame:
@@ -114,11 +117,12 @@ def classify_orders(
     })
 
 
-def lifetime_metrics(orders: DataFrame) -> DataFrame:
+def lifetime_metrics(orders: DataFrame, beside: DataFrame | None = None) -> DataFrame:
     """Classified orders with an email, plus running counts and revenue of their customer.
 
     Every sequence number follows from a running sum: the n-th product order has n product
     orders up to it, and an order that is none comes after `count - sum` others like it.
+    `beside` adds columns known per email.
     """
     known = orders.filter(F.col("email").isNotNull())
     one = F.lit(1).cast("bigint")
@@ -131,7 +135,8 @@ def lifetime_metrics(orders: DataFrame) -> DataFrame:
         "lifetime_total_revenue": F.col("net_sales"),
     }
     run = running_totals(
-        known, "email", "order_date", ["processed_at", "order_id", "store"], totals, {"_first_day": F.col("order_date")}
+        known, "email", "order_date", ["processed_at", "order_id", "store"], totals,
+        {"_first_day": F.col("order_date")}, beside,
     )
 
     def sequence(kind):
@@ -232,12 +237,16 @@ def customer_funnel(orders: DataFrame, windows: Sequence[int] = rules.CONVERSION
     return done.drop(*[f"_first_{name}" for name, _, _ in rules.CATEGORIES])
 
 
-def fct_orders(lifetime: DataFrame, funnel: DataFrame) -> DataFrame:
-    """Orders with their customer's funnel dates and the customer's status at that order."""
+def fct_orders(orders: DataFrame, funnel: DataFrame) -> DataFrame:
+    """Classified orders with lifetime totals, funnel dates and the customer's status at that order.
+
+    The funnel dates travel with the carried lifetime sums, which spares the wide orders a second
+    shuffle by email.
+    """
     dates = funnel.select("email", "first_sample_order_date", "first_product_order_date", "days_to_order", "sample_order_type")
     later_sample = (F.col("is_sample_order") == 1) & (F.col("order_date") > F.col("first_sample_order_date"))
     later_product = (F.col("is_product_order") == 1) & (F.col("order_date") > F.col("first_product_order_date"))
-    return lifetime.join(dates, "email", "left").withColumns({
+    return lifetime_metrics(orders, dates).withColumns({
         "customer_status": x.ladder(
             [
                 (F.col("is_first_product_order") == 1, "New Customer"),

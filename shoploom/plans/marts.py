@@ -263,7 +263,10 @@ def demand_features(lines: DataFrame, daily: DataFrame) -> DataFrame:
     wanted = (
         (F.col("line_item_type") == rules.PRODUCT) & (F.col("order_type") == "Product Order") & F.col("sku").isNotNull()
     )
-    per_order = lines.filter(wanted).groupBy(*group, "email", "order_id").agg(
+    # One shuffle by (series, day, customer): orders, then customers, are counted inside it.
+    per_order = lines.filter(wanted).select(*group, "email", "order_id", "quantity", "line_total", "price").repartition(
+        *keys, "email"
+    ).groupBy(*keys, "email", "order_id").agg(
         F.sum("quantity").alias("quantity_sold"), F.sum("line_total").alias("revenue"), F.sum("price").alias("_price"),
         F.count("price").alias("_price_n"),
     )

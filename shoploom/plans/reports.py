@@ -99,17 +99,22 @@ def net_sales(orders: DataFrame) -> DataFrame:
 
 
 def product_performance(lines: DataFrame) -> DataFrame:
-    """Product line and sub-line by week: revenue, share, change on the week before, trailing six weeks."""
+    """Product line and sub-line by week: revenue, share, change on the week before, trailing six weeks.
+
+    Both grains start from the same totals per order, so lines are read and shuffled once.
+    """
     sold = lines.filter(
         (F.col("line_item_type") == rules.PRODUCT) & (F.col("is_cancelled") == 0) & (F.col("store") == "regular")
         & F.col("product_line").isNotNull()
     ).withColumn("week_start", F.col("iso_week_start"))
-    measures = [
-        F.sum("line_total").alias("revenue"), F.count_distinct("order_id").alias("order_count"),
-        F.sum("quantity").alias("units_sold"),
-    ]
-    by_line = sold.groupBy(*WEEK, "product_line").agg(*measures)
-    by_subline = sold.groupBy(*WEEK, "product_line", "wbr_product_subline").agg(*measures)
+    per_order = sold.groupBy(*WEEK, "product_line", "wbr_product_subline", "order_id").agg(
+        F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units_sold")
+    )
+    sums = [F.sum("revenue").alias("revenue"), F.sum("units_sold").alias("units_sold")]
+    by_line = per_order.groupBy(*WEEK, "product_line").agg(*sums, F.count_distinct("order_id").alias("order_count"))
+    by_subline = per_order.groupBy(*WEEK, "product_line", "wbr_product_subline").agg(
+        *sums, F.count("order_id").alias("order_count")
+    )
     week, parent = W.partitionBy("iso_year", "iso_week"), W.partitionBy("iso_year", "iso_week", "product_line")
 
     def enriched(df, grain, total, *keys):
@@ -171,9 +176,14 @@ def sku_performance(lines: DataFrame) -> DataFrame:
 
 
 def sample_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Weekly and monthly sample orders and sampled units, with change on the week and the year before."""
-    valid = _not_cancelled(orders).filter(F.col("is_sample_order") == 1)
-    sampled = lines.filter((F.col("line_item_type") == rules.SAMPLE) & (F.col("is_cancelled") == 0))
+    """Weekly and monthly sample orders and sampled units, with change on the week and the year before.
+
+    Both grains start from one row per day (units) and per day and order (orders).
+    """
+    valid = _not_cancelled(orders).filter(F.col("is_sample_order") == 1).select("order_date", "order_id").distinct()
+    sampled = lines.filter((F.col("line_item_type") == rules.SAMPLE) & (F.col("is_cancelled") == 0)).groupBy(
+        "order_date"
+    ).agg(F.sum("quantity").alias("quantity"))
     count, units = F.count_distinct("order_id").alias("sample_order_count"), F.sum("quantity").alias("sample_sku_count")
     month = x.month_start("order_date").alias("month_start")
     weekly = (
@@ -227,8 +237,8 @@ def size_variant(sizes: Sequence = rules.SIZE_VARIANTS) -> Column:
 def launch_sampling(lines: DataFrame, line: str = rules.LAUNCH_LINE) -> DataFrame:
     """Daily samples of one product line by sku and size, with day totals and running totals.
 
-    Running totals by size are taken over one row per day and size: rows of a day share the
-    value, and three sizes would otherwise mean three tasks.
+    All windows run on one row per day and sku of a single line, a table bounded by the calendar
+    and the line's skus, however many samples were ordered.
     """
     daily = (
         lines.filter(
@@ -240,13 +250,10 @@ def launch_sampling(lines: DataFrame, line: str = rules.LAUNCH_LINE) -> DataFram
             F.count_distinct("order_id").alias("order_count"),
         )
     )
-    by_size = daily.groupBy("order_date", "size_variant").agg(F.sum("sample_line_count").alias("size_daily_total"))
-    by_day = W.partitionBy("order_date")
-    sizes = by_size.withColumns({
-        "daily_grand_total": F.sum("size_daily_total").over(by_day),
-        "size_cumulative": F.sum("size_daily_total").over(W.partitionBy("size_variant").orderBy("order_date")),
+    n = F.sum("sample_line_count")
+    return daily.withColumns({
+        "size_daily_total": n.over(W.partitionBy("order_date", "size_variant")),
+        "daily_grand_total": n.over(W.partitionBy("order_date")),
+        "sku_cumulative": n.over(W.partitionBy("sku").orderBy("order_date")),
+        "size_cumulative": n.over(W.partitionBy("size_variant").orderBy("order_date")),
     })
-    by_sku = W.partitionBy("sku").orderBy("order_date")
-    return daily.join(sizes, ["order_date", "size_variant"], "left").withColumn(
-        "sku_cumulative", F.sum("sample_line_count").over(by_sku)
-    )

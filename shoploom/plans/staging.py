@@ -68,9 +68,11 @@ def stage_orders(
     })
 
 
-def line_type(threshold: Column) -> Column:
-    """Sample, Product or Accessories: sku prefix first, then words in title and sku, then price."""
-    title, sku = F.lower("title"), F.lower("sku")
+def line_type(threshold: Column, title: Column, sku: Column) -> Column:
+    """Sample, Product or Accessories: sku prefix first, then words in title and sku, then price.
+
+    `title` and `sku` are in lower case.
+    """
     sample = (
         x.like_any("sku", rules.SAMPLE_SKU_PREFIXES)
         | x.like_any(title, rules.SAMPLE_TITLE_PARTS)
@@ -82,14 +84,18 @@ def line_type(threshold: Column) -> Column:
     )
 
 
-def sample_type() -> Column:
-    title, sku = F.lower("title"), F.lower("sku")
+def sample_type(title: Column, sku: Column) -> Column:
     return x.ladder([
         (x.like_any(title, rules.CUT_TITLE_PARTS) | sku.like(rules.CUT_SKU_PART), rules.SAMPLE_CUT),
         (title.like(rules.PLANK_TITLE_PART) | sku.like(rules.PLANK_SKU_PART), rules.SAMPLE_PLANK),
     ])
 
 
+def first_word(title: str) -> Column:
+    """Text before the first white space, at least one character long; the whole title without one."""
+    return F.coalesce(F.nullif(F.regexp_extract(title, r"^(.+?)\s", 1), F.lit("")), F.col(title))
+
+
 def stage_order_lines(lines: DataFrame, stores: Sequence[rules.Store] = rules.STORES) -> DataFrame:
     """Classified lines with quantity and revenue split by type. Lines are not deduplicated."""
     named = lines.select(
@@ -99,12 +105,14 @@ def stage_order_lines(lines: DataFrame, stores: Sequence[rules.Store] = rules.ST
         "is_taxable", "is_shipping_required", "fulfillment_status", F.col("index").alias("line_item_index"), "store",
         per_store(stores, "price_threshold").alias("product_price_threshold"), "_fivetran_synced", "source_relation",
     )
-    typed = named.withColumns({
-        "line_item_type": line_type(F.col("product_price_threshold")),
-        "sample_type": sample_type(),
-        "color": F.coalesce(x.first_group("title", r"^(.+?)\s"), F.col("title")),
+    # Lower-cased once per line, not once per pattern.
+    lowered = named.withColumns({"_title": F.lower("title"), "_sku": F.lower("sku")})
+    typed = lowered.withColumns({
+        "line_item_type": line_type(F.col("product_price_threshold"), F.col("_title"), F.col("_sku")),
+        "sample_type": sample_type(F.col("_title"), F.col("_sku")),
+        "color": first_word("title"),
         "line_total": F.col("line_total_gross"),
-    })
+    }).drop("_title", "_sku")
     kinds = {"sample": rules.SAMPLE, "product": rules.PRODUCT, "accessories": rules.ACCESSORIES}
     return typed.withColumns({
         f"{name}_{measure}": F.when(F.col("line_item_type") == kind, F.col(column)).otherwise(0)

@@ -147,14 +147,22 @@ def _line_id() -> Column:
     )
 
 
+def _parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts with sku and title, built once per part before any join."""
+    return source(spark, folder, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_size", _money("p_retailprice").alias("price"),
+        _sku(F.col("p_partkey")).alias("sku"), _title().alias("title"),
+    )
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    li, part = source(spark, folder, "lineitem"), source(spark, folder, "part")
+    li, part = source(spark, folder, "lineitem"), _parts(spark, folder)
     df = li.join(part, li.l_partkey == part.p_partkey)
     total = _money("l_extendedprice")
     out = df.select(
         _line_id().alias("order_line_id"), F.col("l_orderkey").alias("order_id"), F.col("p_partkey").alias("product_id"),
-        F.col("p_partkey").alias("variant_id"), _sku(F.col("p_partkey")).alias("sku"), _title().alias("title"),
-        F.col("p_name").alias("name"), F.col("l_quantity").alias("quantity"), F.col("p_retailprice").alias("variant_price"),
+        F.col("p_partkey").alias("variant_id"), "sku", "title",
+        F.col("p_name").alias("name"), F.col("l_quantity").alias("quantity"), F.col("price").alias("variant_price"),
         total.alias("price_pres_amount"),
         F.round(total * F.col("l_discount").cast("decimal(4,2)"), 2).alias("total_discount_pres_amount"),
         F.col("p_brand").alias("vendor"), F.lit(None).alias("variant_title"), F.lit(False).alias("is_gift_card"),
@@ -174,8 +182,8 @@ def sku_lookup(spark: SparkSession, folder: str) -> DataFrame:
     category = F.when(key % 7 == 0, "Herringbone").otherwise(
         _case(size % 5, ((0, "Signature"), (1, "Base"), (2, "Craftsman"), (3, "7 inch")), F.lit("6 inch"))
     )
-    out = source(spark, folder, "part").filter(key % 3 != 0).select(
-        _sku(key).alias("sku"), line.alias("product_line"), category.alias("product_category"),
+    out = _parts(spark, folder).filter(key % 3 != 0).select(
+        "sku", line.alias("product_line"), category.alias("product_category"),
         F.when(key % 2 == 0, "Enhanced").otherwise("Micro").alias("bevel"),
         F.when(key % 11 != 0, F.upper(F.substring("p_name", 1, 3))).alias("color_code"),
         F.when(key % 11 != 0, F.split_part("p_name", F.lit(" "), F.lit(1))).alias("color_name"),
