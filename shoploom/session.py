@@ -30,11 +30,13 @@ _local_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, else a temporary one (tests)."""
+    """Folder every executor can reach: `spark.checkpoint.dir`, else a temporary one in local mode."""
     global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="shoploom-")
     return _local_folder
