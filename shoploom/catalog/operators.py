@@ -126,11 +126,11 @@ register(
 )
 register(
     "b06_typed_null_padding",
-    lambda t: t.table("region").select(
-        "r_regionkey", F.lit(None).cast("bigint").alias("bounced"), F.lit(None).cast("date").alias("sent_date"),
+    lambda t: t.table("part").select(
+        "p_partkey", F.lit(None).cast("bigint").alias("bounced"), F.lit(None).cast("date").alias("sent_date"),
         F.lit(None).cast("string").alias("subject"), F.lit(None).cast("double").alias("change"),
     ),
-    "SELECT r_regionkey, NULL::BIGINT AS bounced, NULL::DATE AS sent_date, NULL::VARCHAR AS subject, NULL::DOUBLE AS change FROM region",
+    "SELECT p_partkey, NULL::BIGINT AS bounced, NULL::DATE AS sent_date, NULL::VARCHAR AS subject, NULL::DOUBLE AS change FROM part",
 )
 register(
     "b07_struct_access",
