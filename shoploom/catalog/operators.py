@@ -36,8 +36,8 @@ def _money(name: str):
 
 
 def _sharded(t):
-    shards = write_table(t.events_feed, _path(t, "events"), partition_by="event_date")
-    path = shards.inputFiles()[0].rsplit("/event_date=", 1)[0]
+    path = _path(t, "events")
+    shards = write_table(t.events_feed, path, partition_by="event_date")
     recent = read_shards(t.spark, path, shards.schema, t.events_as_of, days=14)
     return recent.select("event_date", "event_bundle_sequence_id", "event_name")
 
