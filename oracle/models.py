@@ -1,7 +1,7 @@
 """The results of `shoploom.plans` in SQL, over the CTEs of `oracle.feeds`."""
 
 from oracle import feeds  # noqa: F401
-from oracle.sql import arms, change, cte, div, flag, likes, local, monday, month, pct, ratio, safe, sunday
+from oracle.sql import arms, change, cte, div, flag, local, monday, month, pct, ratio, safe, sunday
 
 _T = local("placed")
 

@@ -86,10 +86,6 @@ def flag(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
 
 
-def likes(value: str, patterns) -> str:
-    return "(" + " OR ".join(f"{value} LIKE '{p}'" for p in patterns) + ")"
-
-
 def arms(pairs, otherwise="NULL") -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + f" ELSE {otherwise} END"
 

@@ -10,7 +10,7 @@ from helpers import by, day, frame, ts
 from shoploom import session
 from shoploom.catalog.shop import Shop
 from shoploom.operators import quality as q
-from shoploom.operators.relational import distinct_counts, left_join_sparse, most_common, stack
+from shoploom.operators.relational import distinct_counts, left_join_sparse, most_common
 from shoploom.operators.windows import newest_per, prior, same_week_last_year, trailing
 from shoploom.sources import schemas
 from shoploom.sources.tables import as_view, read_shards, write_table

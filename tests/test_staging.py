@@ -1,6 +1,5 @@
 from helpers import by, day, frame, ts
 from shoploom.plans import staging as s
-from shoploom.functions import exprs as x
 from shoploom.operators.relational import union_stores
 from shoploom.sources import schemas
 from pyspark.sql import functions as F
