@@ -2,6 +2,16 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_STOP = """'the','be','to','of','and','that','have','with','is','it','in','for','on','as','was','a',
+    'le','la','les','de','des','et','en','un','une','que','est','dans','pour','du',
+    'der','die','das','und','zu','den','von','mit','im','ist','ein','eine','auf',
+    'el','los','las','y','por','con','para','una','se','del','al'"""
+
+
+def _ratio(part: str, whole: str) -> str:
+    return f"(CASE WHEN {whole} = 0 THEN 0.0::DOUBLE ELSE {part}::DOUBLE / {whole} END)"
+
+
 SQL = {
     "op5_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS normal FROM documents)
@@ -9,4 +19,38 @@ SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(normal) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY normal)
     """,
+    "op7_quality_rules": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        s AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM d
+        ),
+        windows AS (
+            SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM s)
+        ),
+        again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+        repeated AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) v(k) GROUP BY doc_id
+        ),
+        m AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words,
+                   coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                   coalesce(n, 0)::BIGINT AS n_repeat_words,
+                   len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words, len(lines) AS n_lines,
+                   len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullet_lines,
+                   len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_cut_lines
+            FROM s LEFT JOIN repeated USING (doc_id)
+        ),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND {_ratio("word_chars", "n_words")} BETWEEN 2.0 AND 16.0
+               AND {_ratio("n_symbols", "n_words")} <= 0.1 AND {_ratio("n_stop_words", "n_words")} >= 0.02
+               AND {_ratio("n_dup_lines", "n_lines")} <= 0.3 AND {_ratio("n_bullet_lines", "n_lines")} <= 0.9
+               AND {_ratio("n_cut_lines", "n_lines")} <= 0.3 AS kept
+        FROM b
+    """,
 }

@@ -143,10 +143,10 @@ class ExactDuplicates:
         checked = texts.groupBy("text_sha256").agg(F.count("*").alias("texts"), F.sum("n").alias("n"))
         best = F.max(F.struct(self.id.alias("doc"), (-F.col("rid")).alias("rid"))).alias("best")
         equal = F.when(F.col("texts") == 1, F.col("n")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("long"))
-        groups = (
-            checked.join(suspects.groupBy("text_sha256").agg(best), "text_sha256")
-            .select("text_sha256", equal.alias("group_size"), F.col("best.doc").alias("keep_id"), (-F.col("best.rid")).alias("keep_rid"))
-        )
+        groups = checked.join(suspects.groupBy("text_sha256").agg(best), "text_sha256").select(
+            "text_sha256", equal.alias("group_size"), F.col("best.doc").alias("keep_id"), (-F.col("best.rid")).alias("keep_rid")
+        )
+        groups = written(groups, "groups")  # so that the join below is of two plain shuffles, of which a hot group's can be split
 
         rows = ["text_sha256", "rid", self.id.alias("doc_id")]
         alone = marked.where("not suspect").select(*rows, F.lit(1).cast("long").alias("group_size"), self.id.alias("keep_id"), F.lit(True).alias("kept"))

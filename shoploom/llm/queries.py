@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoploom.llm import checks
-from shoploom.llm.common import table
+from shoploom.llm import checks, gam, packing, rules
+from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
+from shoploom.llm.simhash import NearDuplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,7 +29,38 @@ def oracle_sql() -> dict[str, str]:
     return dict(checks.SQL)
 
 
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> gam.Model:
+    """Fitted on the labels outside the held-out third."""
+    labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 3, 1))
+    return gam.train(docs, labels)
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = gam.scored(docs, quality_model(spark, sf_dir, docs), carried={"doc_id": F.col("doc_id")})
+    return found.select("doc_id", in_fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ExactDuplicates(docs).verdicts().select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.judged(docs).select(F.col("row.doc_id").alias("doc_id"), *rules.BASE, "base_failed", "kept")
+
+
+@query
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return NearDuplicates(docs).verdicts().select("doc_id", "fingerprint", "component_id")
