@@ -12,7 +12,71 @@ def _ratio(part: str, whole: str) -> str:
     return f"(CASE WHEN {whole} = 0 THEN 0.0::DOUBLE ELSE {part}::DOUBLE / {whole} END)"
 
 
+def _level(unit: str, source: str, prior: str, keep: str) -> str:
+    """A level's posterior rate and weight under its prior, whose weight is fitted by moments."""
+    return f"""
+        {unit}_w AS (
+            SELECT CASE WHEN most > 0 THEN CASE WHEN over_ / most > 0 THEN 1 / (over_ / most) - 1 ELSE 1000.0 END ELSE 2.0 END AS raw
+            FROM (SELECT sum(power(bad - n * {prior}, 2) - n * ({prior} * (1 - {prior}))) AS over_,
+                         sum(n * (n - 1) * ({prior} * (1 - {prior}))) AS most FROM {source})
+        ),
+        {unit} AS (
+            SELECT {keep}, (bad + w * {prior}) / (n + w) AS {unit}_rate, n + w AS {unit}_weight
+            FROM {source}, (SELECT greatest(2.0, least(1000.0, raw)) AS w FROM {unit}_w)
+        )
+    """
+
+
 SQL = {
+    "op3_url_filters": rf"""
+        WITH p AS (
+            SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages
+        ),
+        labelled AS (
+            SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+        ),
+        hosts AS (
+            SELECT host, count(bad) AS n, sum(coalesce(bad, 0)) AS bad
+            FROM p LEFT JOIN labelled ON doc_id = try_cast(regexp_extract(path, '([0-9]{{1,18}})(?:\.html|/)?$', 1) AS BIGINT)
+            GROUP BY host
+        ),
+        cut AS (SELECT *, string_split(host, '.') AS parts FROM hosts),
+        named AS (
+            SELECT host, n, bad, array_to_string(parts[-2:], '.') AS two, array_to_string(parts[-3:], '.') AS three, parts[-1] AS one,
+                   two IN ('co.uk','org.uk','ac.uk','gov.uk','com.au','net.au','org.au','co.nz','co.jp','com.br','com.cn','co.in',
+                           'co.za','com.mx') AS deep,
+                   CASE WHEN deep THEN three ELSE two END AS domain, CASE WHEN deep THEN two ELSE one END AS suffix
+            FROM cut
+        ),
+        domain_n AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY ALL),
+        suffix_n AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domain_n GROUP BY ALL),
+        suffix_p AS (SELECT *, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM suffix_n) AS prior FROM suffix_n),
+        {_level("suffix_r", "suffix_p", "prior", "suffix")},
+        domain_p AS (SELECT d.*, suffix_r_rate AS prior FROM domain_n d JOIN suffix_r USING (suffix)),
+        {_level("domain_r", "domain_p", "prior", "domain, suffix")},
+        host_p AS (SELECT named.*, domain_r_rate AS prior FROM named JOIN domain_r USING (domain, suffix)),
+        {_level("host_r", "host_p", "prior", "host")},
+        rated AS (
+            SELECT host, host_r_rate AS rate, host_r_rate - 1.645 * sqrt(host_r_rate * (1 - host_r_rate) / (host_r_weight + 1)) AS bound FROM host_r
+        ),
+        ruled AS (
+            SELECT *, CASE
+                WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+                WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+                WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+                WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+            FROM p
+        )
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                    WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+               round(rate, 6) AS bad_rate, round(bound, 6) AS bad_bound
+        FROM ruled LEFT JOIN rated USING (host)
+    """,
     "op5_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS normal FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
