@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoploom.llm import checks, gam, packing, rules
+from shoploom.llm import checks, gam, hosts, packing, rules
 from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
+from shoploom.llm.hmm import LanguageModel
 from shoploom.llm.simhash import NearDuplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,21 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
 
 
+@query
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    outcomes = hosts.document_outcomes(pages, table(spark, sf_dir, "labels"))
+    return hosts.judged(pages, outcomes).select("page_id", *hosts.RESULTS)
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 10, 0)
+    found = LanguageModel(docs, ~held_out).scores().withColumn("doc_id", F.col("row.doc_id"))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
