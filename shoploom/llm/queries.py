@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoploom.llm import checks, gam, hosts, packing, rules
+from shoploom.llm import checks, gam, hosts, packing, rules, wrapper
 from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
 from shoploom.llm.hmm import LanguageModel
@@ -80,3 +80,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return NearDuplicates(docs).verdicts().select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrapper.extracted(pages).select("page_id", "url", "text", "n_chars")
