@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoploom.llm import checks, gam, hosts, packing, rules, wrapper
+from shoploom.llm import checks, gam, hosts, lattice, packing, rules, wrapper
 from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
 from shoploom.llm.hmm import LanguageModel
@@ -86,3 +86,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return wrapper.extracted(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
+    found = lattice.sampled(docs, path, lattice.piece_counts(docs, path))
+    return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion")
