@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoploom.llm import checks, gam, hosts, lattice, packing, rules, wrapper
+from shoploom.llm import checks, gam, hosts, language, lattice, packing, rules, wrapper
 from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
 from shoploom.llm.hmm import LanguageModel
@@ -30,6 +30,13 @@ def oracle_sql() -> dict[str, str]:
     return dict(checks.SQL)
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.text_model(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return language.fused(pages, model).select("page_id", "lang", "score", "text_lang", "declared", "address")
+
+
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> gam.Model:
     """Fitted on the labels outside the held-out third."""
     labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 3, 1))
