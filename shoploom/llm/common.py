@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_BYTES = 8 << 20
 _POSITION_BITS = 33  # of monotonically_increasing_id: the partition's number stands above, the row's below
 
 
@@ -52,14 +53,24 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of 8 MB at most, whatever the rows are like: a worker holds one batch and what it makes of it.
+
+    The setting must hold when a result is run, not only while it is built, so it stays set.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    """A text column as UTF-8 bytes, null as empty."""
-    column = batch.column(batch.schema.get_field_index(name))
+    """A text column as UTF-8 bytes, null as empty; a field of `row` if the first column is that."""
+    first = batch.column(0)
+    column = first.field(name) if batch.schema.names[0] == "row" and name not in batch.schema.names else batch.column(name)
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
 def nested(df: DataFrame, **extra: Column) -> DataFrame:
     """All columns of `df` inside one struct `row`, so that added columns clash with none of them."""
+    bounded_batches(df.sparkSession)
     inner = [F.col(f"`{c}`") for c in df.columns]
     return df.select(F.struct(*inner).alias("row"), *[c.alias(k) for k, c in extra.items()])
 

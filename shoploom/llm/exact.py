@@ -63,12 +63,12 @@ def _owner_edges(owners: int) -> np.ndarray:
 
 def _fingerprinted(df: DataFrame, text: str) -> DataFrame:
     """`row`, `text_sha256` of the normalised text, and `print`, its first 64 bits."""
-    thin = nested(df, _text=F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    thin = nested(df)
     schema = T.StructType([thin.schema["row"], T.StructField("text_sha256", T.StringType()), T.StructField("print", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            digests = [hashlib.sha256(x.lower()).digest() for x in texts_of(batch, "_text")]
+            digests = [hashlib.sha256(x.lower()).digest() for x in texts_of(batch, text)]
             prints = np.frombuffer(b"".join(x[:8] for x in digests), dtype="<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x.hex() for x in digests], pa.string()), pa.array(prints, pa.int64())], names=["row", "text_sha256", "print"]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoploom.llm.common import nested, texts_of, unnested
+from shoploom.llm.common import bounded_batches, nested, texts_of, unnested
 
 #: Labelled rows that the model is fitted on at most: those whose hashed id is smallest.
 TRAIN_ROWS = 20_000
@@ -162,6 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
 
     Only these few features and labels come to the driver.
     """
+    bounded_batches(docs.sparkSession)
     usable = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1) and _id is not null")
     chosen = usable.orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
     texts = docs.select(F.col(f"`{id}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
@@ -183,14 +184,14 @@ def scored(docs: DataFrame, model: Model, text: str = "text", carried: dict[str,
 
     A null text counts as empty and is scored like any other; repeated rows are scored alike.
     """
-    thin = nested(docs, **(carried or {}), _text=F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    keep = thin.columns[:-1]
+    thin = nested(docs, **(carried or {}))
+    keep = thin.columns
     schema = T.StructType([*[thin.schema[c] for c in keep], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches):
         for batch in batches:
-            score = model.score(features(texts_of(batch, "_text")))
-            columns = [*batch.columns[:-1], pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32), pa.int32())]
+            score = model.score(features(texts_of(batch, text)))
+            columns = [*batch.columns, pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "predicted"])
 
     return thin.mapInArrow(run, schema)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoploom.llm.common import texts_of, unnested, without, written
+from shoploom.llm.common import bounded_batches, texts_of, unnested, without, written
 from shoploom.llm.hosts import domain_of, host_of, path_of, suffix_of
 from shoploom.llm.wrapper import main_text, parse
 
@@ -52,6 +52,7 @@ def text_model(docs: DataFrame, text: str = "text", language: str = "lang") -> t
             columns = [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at].astype(np.int64), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
 
+    bounded_batches(docs.sparkSession)
     known = docs.select(F.lower(F.trim(language)).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).where("lang != ''")
     sums = written(known.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
     names = sorted(r["lang"] for r in sums.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoploom.llm.common import nested, unnested, written
+from shoploom.llm.common import bounded_batches, nested, unnested, written
 
 CAPACITY = 2048
 # The vocabulary's pattern.
@@ -168,6 +168,7 @@ def token_pieces(docs: DataFrame, path: str, text: str = "text", id: str = "doc_
     A null text counts as empty: its only id is the end. Documents of more than `capacity` ids are cut into pieces of
     that many, the first of which holds what is over.
     """
+    bounded_batches(docs.sparkSession)
     thin = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches):

@@ -48,12 +48,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(df: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
     """`df` with its columns in `row`, and `print`: the fingerprint of the text as a signed long."""
-    thin = nested(df, _text=F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    thin = nested(df)
     schema = T.StructType([thin.schema["row"], T.StructField("print", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            prints = np.array([fingerprint(x, shingle) for x in texts_of(batch, "_text")], dtype=np.uint64)
+            prints = np.array([fingerprint(x, shingle) for x in texts_of(batch, text)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64), pa.int64())], names=["row", "print"])
 
     return thin.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoploom.llm.common import unnested, without, written
+from shoploom.llm.common import bounded_batches, unnested, without, written
 from shoploom.llm.hosts import host_of
 
 #: A node is template if this share of the host's aligned pages have its text, and so many pages at least.
@@ -348,6 +348,7 @@ def extracted(pages: DataFrame, url: str = "url", markup: str = "html") -> DataF
     A null or empty page has an empty text; pages with a null url count as one host without a name. Repeated pages are
     extracted alike, an empty table gives an empty result, columns named `text` or `n_chars` are replaced.
     """
+    bounded_batches(pages.sparkSession)
     page = F.coalesce(F.col(f"`{markup}`"), F.lit(""))
     host = host_of(F.col(f"`{url}`"))
     found = written(templates(pages.select(host.alias("host"), page.alias("html"))), "templates")
