@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoploom.llm.common import texts_of
+from shoploom.llm.common import bounded_batches, texts_of
 
 SAMPLES, SEED = 3, 42
 SPACE_MARK = "▁"
-_PART_CHARS = 3_000_000  # of texts sampled at a time
+_PART_CHARS = 1_500_000  # of texts sampled at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,6 +48,7 @@ def piece_counts(texts: DataFrame, path: str, text: str = "text") -> np.ndarray:
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["id", "n"])
 
+    bounded_batches(texts.sparkSession)
     sent = texts.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, n long")
     out = np.zeros(processor(path).vocab_size())
     for r in sent.groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row per piece of the vocabulary
@@ -94,7 +95,6 @@ class Lattice:
     starts: np.ndarray
     ends: np.ndarray
     share: np.ndarray
-    above: np.ndarray
     ids: np.ndarray
     chars: str
 
@@ -121,8 +121,10 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         hit = table[at] == keys[nodes]
         ids[nodes[hit], n - 1] = table_ids[at[hit]]
         scores[nodes[hit], n - 1] = pieces.logs[table_ids[at[hit]]]
-    for node in np.flatnonzero(ids[:, 0] < 0).tolist():  # spelled in bytes
-        scores[node, 0] = pieces.logs[pieces.spelled(chars[node])].sum()
+    for node in np.flatnonzero(ids[:, 0] < 0).tolist():  # spelled in bytes; several have no id of their own
+        spelled = pieces.spelled(chars[node])
+        scores[node, 0] = pieces.logs[spelled].sum()
+        ids[node, 0] = spelled[0] if len(spelled) == 1 else -1
 
     # The log mass of all ways from a node to its word's end, from the nodes next to the end on.
     mass = np.zeros(size + longest + 1)
@@ -137,9 +139,8 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         scores[nodes, :n] += behind
         top = scores[nodes, :n].max(axis=1)
         mass[nodes] = top + np.log(np.exp(scores[nodes, :n] - top[:, None]).sum(axis=1))
-    share = np.exp(scores - mass[:size, None])
-    above = np.minimum(share.cumsum(axis=1), 1.0)
-    return Lattice(starts, ends, share, above, ids, chars)
+    scores -= mass[:size, None]
+    return Lattice(starts, ends, np.exp(scores, out=scores), ids, chars)
 
 
 def _uniform(key: np.ndarray, *counters) -> np.ndarray:
@@ -153,8 +154,9 @@ def _uniform(key: np.ndarray, *counters) -> np.ndarray:
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
-def _pick(above: np.ndarray, share: np.ndarray, u: np.ndarray) -> np.ndarray:
+def _pick(share: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Index of the edge whose part of the unit interval holds `u`; never an edge without a share."""
+    above = share.cumsum(axis=1)
     picked = np.minimum((above <= u[:, None] * above[:, -1:]).sum(axis=1), above.shape[1] - 1)
     none = share[np.arange(len(picked)), picked] <= 0
     picked[none] = share[none].argmax(axis=1)
@@ -167,7 +169,7 @@ def _walk(found: Lattice, nodes: np.ndarray, ends: np.ndarray, keys: np.ndarray,
     go = which[at < ends]
     while len(go):
         here = at[go]
-        edge = _pick(found.above[here], found.share[here], _uniform(keys[go], sample, numbers[go], step))
+        edge = _pick(found.share[here], _uniform(keys[go], sample, numbers[go], step))
         parts.append((go, here, edge))
         at[go] = here + edge + 1
         go = go[at[go] < ends[go]]
@@ -232,7 +234,7 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, samples: int = SAM
             out = gone[d].setdefault((parent, at), [int(origin.edge[at])])
             share = found.share[node].copy()
             share[out] = 0.0
-            edge = int(_pick(share.cumsum()[None], share[None], _uniform(seeds[d : d + 1], 500 + k))[0])
+            edge = int(_pick(share[None], _uniform(seeds[d : d + 1], 500 + k))[0])
             out.append(edge)
             rest = max(0.0, 1 - float(found.share[node, out].sum()))
             u = _uniform(seeds[d : d + 1], 800 + k)
@@ -285,11 +287,9 @@ def _log_inclusion(log: float, threshold: float) -> float:
 
 def _ids(found: Lattice, path: _Path, pieces: Pieces) -> list[int]:
     ids = found.ids[path.node, path.edge]
-    if (ids >= 0).all():
-        return ids.tolist()
-    out: list[int] = []
-    for i, node in zip(ids.tolist(), path.node.tolist(), strict=True):
-        out.extend([i] if i >= 0 else pieces.spelled(found.chars[node]))
+    out = ids.tolist()
+    for at in np.flatnonzero(ids < 0)[::-1].tolist():
+        out[at : at + 1] = pieces.spelled(found.chars[path.node[at]])
     return out
 
 
@@ -306,6 +306,7 @@ def sampled(docs: DataFrame, path: str, counts: np.ndarray, text: str = "text",
     A null text counts as empty; an empty text has one segmentation, without pieces. A null id is a key like any other.
     Repeated rows get the same samples. A text with fewer segmentations than `samples` gives them all.
     """
+    bounded_batches(docs.sparkSession)
     thin = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = T.StructType.fromDDL("doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double")
 
