@@ -63,21 +63,20 @@ FROM lineitem JOIN feed_parts ON l_partkey = p_partkey
 """)
 
 cte("feed_lookup", """
-SELECT sku, ['Modin', 'Silvan', 'Arista', 'Provenance'][p_size % 4 + 1] AS product_line,
+SELECT CASE WHEN p_partkey % 3 = 0 THEN 'retired-' || sku ELSE sku END AS sku, ['Modin', 'Silvan', 'Arista', 'Provenance'][p_size % 4 + 1] AS product_line,
   CASE WHEN p_partkey % 7 = 0 THEN 'Herringbone' ELSE ['Signature', 'Base', 'Craftsman', '7 inch', '6 inch'][p_size % 5 + 1] END AS product_category,
   CASE WHEN p_partkey % 2 = 0 THEN 'Enhanced' ELSE 'Micro' END AS bevel,
   CASE WHEN p_partkey % 11 <> 0 THEN upper(p_name[1:3]) END AS color_code,
   CASE WHEN p_partkey % 11 <> 0 THEN split_part(p_name, ' ', 1) END AS color_name
-FROM feed_parts WHERE p_partkey % 3 <> 0
+FROM feed_parts
 """)
 
 cte("feed_customers", f"""
-SELECT c_custkey AS customer_id, {_email('c_custkey')} AS email, c_custkey AS k, copy, {_money('c_acctbal')} AS balance,
+SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 83 = 0 THEN 'old-' || {_email('c_custkey')} ELSE {_email('c_custkey')} END AS email, c_custkey AS k, copy, {_money('c_acctbal')} AS balance,
   TIMESTAMP '1994-06-01 08:00:00' + to_days(CAST(c_custkey % 365 AS INTEGER)) AS made,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'Trade,Customer Type: Builder,' WHEN 'MACHINERY' THEN 'Pending,' WHEN 'HOUSEHOLD' THEN 'Retail' WHEN 'AUTOMOBILE' THEN '' END AS tags,
   CASE WHEN copy = 1 THEN 'commercial' ELSE 'regular' END AS store
 FROM (SELECT *, 0 AS copy FROM customer UNION ALL SELECT *, 1 AS copy FROM customer WHERE c_custkey % 10 = 0)
-WHERE c_custkey % 83 <> 0
 """)
 
 cte("feed_events", """
@@ -102,9 +101,9 @@ SELECT CAST(l_shipdate AS DATE) AS date_day, l_suppkey % 20 AS campaign_id, ['MO
 FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL
 """)
 cte("feed_campaigns", """
-SELECT s_suppkey % 20 AS campaign_id, 'Search ' || (s_suppkey % 20) AS campaign_name,
+SELECT CASE WHEN s_suppkey % 20 = 13 THEN 113 ELSE s_suppkey % 20 END AS campaign_id, 'Search ' || campaign_id AS campaign_name,
   CASE WHEN s_suppkey % 3 = 0 THEN 'PAUSED' ELSE 'ENABLED' END AS status
-FROM supplier WHERE s_suppkey % 20 <> 13
+FROM supplier
 QUALIFY row_number() OVER (PARTITION BY s_suppkey % 20 ORDER BY s_suppkey DESC) = 1
 """)
 

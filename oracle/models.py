@@ -76,7 +76,7 @@ QUALIFY row_number() OVER (PARTITION BY lower(email) ORDER BY copy DESC) = 1
 """)
 
 _flags = ", ".join(
-    f"{flag(f'event_name = {chr(39)}{n}{chr(39)}')} AS is_{n}" for n in
+    flag(f"event_name = '{n}'") + f" AS is_{n}" for n in
     "purchase add_to_cart remove_from_cart view_item view_item_list select_item begin_checkout add_payment_info "
     "add_shipping_info page_view session_start first_visit".split()
 )
@@ -535,6 +535,10 @@ FROM (SELECT campaign_id AS email_id, 'Campaign' AS email_type, campaign_name AS
 
 _stages = ("homepage", "plp", "pdp", "add_to_cart", "begin_checkout", "purchase")
 _names = ("Homepage", "Product List", "Product Detail", "Add to Cart", "Begin Checkout", "Purchase")
+_pages = ", ".join(
+    "max(" + flag(f"page_type = '{p}'") + f") AS reached_{n}, count(*) FILTER (page_type = '{p}') AS {n}_views"
+    for n, p in (("homepage", "homepage"), ("plp", "product_list"), ("pdp", "product_detail"))
+)
 cte("k14", f"""
 SELECT *, list_max([{", ".join(f"reached_{s} * {i}" for i, s in enumerate(_stages, 1))}]) AS funnel_stage_depth,
   ['Other', {", ".join(f"'{n}'" for n in _names)}][list_max([{", ".join(f"reached_{s} * {i}" for i, s in enumerate(_stages, 1))}]) + 1] AS deepest_funnel_stage,
@@ -542,7 +546,7 @@ SELECT *, list_max([{", ".join(f"reached_{s} * {i}" for i, s in enumerate(_stage
   {", ".join(f"reached_{a} * (1 - reached_{b}) AS dropped_at_{n}" for a, b, n in zip(_stages, _stages[1:], ("homepage", "plp", "pdp", "cart", "checkout")))},
   CAST(session_start_time AS DATE) AS session_date
 FROM (SELECT user_pseudo_id, ga_session_id, min(event_timestamp_pt) AS session_start_time, max(event_timestamp_pt) AS session_end_time,
-    {", ".join(f"max({flag(f'page_type = {chr(39)}{p}{chr(39)}')}) AS reached_{n}, count(*) FILTER (page_type = '{p}') AS {n}_views" for n, p in (('homepage', 'homepage'), ('plp', 'product_list'), ('pdp', 'product_detail')))},
+    {_pages},
     {", ".join(f"max(is_{s}) AS reached_{s}, sum(is_{s})::BIGINT AS {s}_events" for s in _stages[3:])},
     max(transaction_id) FILTER (is_purchase = 1) AS transaction_id, max(transaction_value) FILTER (is_purchase = 1) AS transaction_value,
     count(*) AS total_events, count(DISTINCT event_name) AS unique_event_types
@@ -551,7 +555,7 @@ FROM (SELECT user_pseudo_id, ga_session_id, min(event_timestamp_pt) AS session_s
 
 _r = ("homepage", "plp", "pdp", "cart", "checkout", "purchase")
 cte("k27", f"""
-SELECT * EXCLUDE (value, mins, evs, pdps), value AS total_revenue, {ratio('value', 'converted_sessions', otherwise=_z)} AS avg_order_value,
+SELECT * EXCLUDE (value, mins, evs, pdps), CAST(round(value, 2) AS DECIMAL(18,2)) AS total_revenue, {ratio('value', 'converted_sessions', otherwise=_z)} AS avg_order_value,
   {", ".join(f"{pct(f'sessions_reached_{b}', f'sessions_reached_{a}', _z)} AS {a}_to_{b}_rate" for a, b in zip(_r, _r[1:]))},
   {pct('converted_sessions', 'total_sessions', _z)} AS overall_conversion_rate,
   {", ".join(f"{pct(f'sessions_dropped_at_{d}', f'sessions_reached_{d}', _z)} AS {d}_dropoff_rate" for d in _r[:-1])},
@@ -560,7 +564,7 @@ SELECT * EXCLUDE (value, mins, evs, pdps), value AS total_revenue, {ratio('value
 FROM (SELECT session_date, deepest_funnel_stage, funnel_stage_depth, count(*) AS total_sessions, count(DISTINCT user_pseudo_id) AS unique_users,
     {", ".join(f"sum(reached_{s})::BIGINT AS sessions_reached_{r}" for s, r in zip(_stages, _r))},
     {", ".join(f"sum(dropped_at_{d})::BIGINT AS sessions_dropped_at_{d}" for d in _r[:-1])}, sum(is_converted_session)::BIGINT AS converted_sessions,
-    sum(CAST(transaction_value AS DECIMAL(18,2))) AS value, sum(session_duration_minutes) AS mins, sum(total_events) AS evs, sum(pdp_views) AS pdps
+    sum(CAST(transaction_value AS DECIMAL(24,6))) AS value, sum(session_duration_minutes) AS mins, sum(total_events) AS evs, sum(pdp_views) AS pdps
   FROM k14 GROUP BY ALL)
 """)
 

@@ -176,14 +176,15 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sku_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    """Lookup rows for two of three parts, so that the prefix fallback is used too."""
+    """A lookup row per part; every third has a sku that no line carries, so that the prefix fallback is used too."""
     key, size = F.col("p_partkey"), F.col("p_size")
     line = _case(size % 4, ((0, "Modin"), (1, "Silvan"), (2, "Arista")), F.lit("Provenance"))
     category = F.when(key % 7 == 0, "Herringbone").otherwise(
         _case(size % 5, ((0, "Signature"), (1, "Base"), (2, "Craftsman"), (3, "7 inch")), F.lit("6 inch"))
     )
-    out = _parts(spark, folder).filter(key % 3 != 0).select(
-        "sku", line.alias("product_line"), category.alias("product_category"),
+    sku = F.when(key % 3 == 0, F.concat(F.lit("retired-"), F.col("sku"))).otherwise(F.col("sku"))
+    out = _parts(spark, folder).select(
+        sku.alias("sku"), line.alias("product_line"), category.alias("product_category"),
         F.when(key % 2 == 0, "Enhanced").otherwise("Micro").alias("bevel"),
         F.when(key % 11 != 0, F.upper(F.substring("p_name", 1, 3))).alias("color_code"),
         F.when(key % 11 != 0, F.split_part("p_name", F.lit(" "), F.lit(1))).alias("color_name"),
@@ -192,17 +193,19 @@ def sku_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers of both stores; a tenth also has a commercial record, updated later. Some order without a record."""
+    """Customers of both stores; a tenth also has a commercial record, updated later. Some order under another address
+    than the one on record, so that they have no customer and these records no orders."""
     key, balance = F.col("c_custkey"), _money("c_acctbal")
-    df = _repeat(source(spark, folder, "customer").filter(key % 83 != 0), key % 10 == 0)
+    df = _repeat(source(spark, folder, "customer"), key % 10 == 0)
     commercial = F.col("copy") == 1
+    email = F.when(key % 83 == 0, F.concat(F.lit("old-"), _email(key))).otherwise(_email(key))
     made = _after(F.lit("1994-06-01 08:00:00").cast("timestamp_ntz"), days=(key % 365).cast("int"))
     tag = _case(
         F.col("c_mktsegment"),
         (("BUILDING", "Trade,Customer Type: Builder,"), ("MACHINERY", "Pending,"), ("HOUSEHOLD", "Retail"), ("AUTOMOBILE", "")),
     )
     out = df.select(
-        key.alias("customer_id"), _email(key).alias("email"), F.lit("Cust").alias("first_name"),
+        key.alias("customer_id"), email.alias("email"), F.lit("Cust").alias("first_name"),
         key.cast("string").alias("last_name"), F.lit(None).alias("phone"), F.lit(None).alias("note"),
         F.lit("ENABLED").alias("account_state"), F.lit(False).alias("is_tax_exempt"),
         (key % 2 == 0).alias("is_verified_email"), F.lit("USD").alias("currency"),
@@ -354,10 +357,10 @@ def search_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_campaigns(spark: SparkSession, folder: str) -> DataFrame:
-    """Campaign snapshots, several dates each; campaign 13 is missing."""
+    """Campaign snapshots, several dates each; what would be campaign 13 has a number that no ad carries."""
     key = F.col("s_suppkey")
-    campaign = key % 20
-    out = source(spark, folder, "supplier").filter(campaign != 13).select(
+    campaign = F.when(key % 20 == 13, 113).otherwise(key % 20)
+    out = source(spark, folder, "supplier").select(
         campaign.alias("campaign_id"), F.lit(1).alias("customer_id"),
         F.concat(F.lit("Search "), campaign.cast("string")).alias("campaign_name"),
         F.lit("SEARCH").alias("campaign_advertising_channel_type"), F.lit(None).alias("campaign_advertising_channel_sub_type"),
