@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
-from shoploom.operators.relational import distinct_counts, left_join_sparse, most_common, zero_fill
+from shoploom.operators.relational import left_join_sparse, most_common, zero_fill
 from shoploom.operators.windows import running_totals
 
 ORDER_KEY = ["order_id", "store"]
@@ -23,31 +23,34 @@ _LINE_SUMS = {
 
 
 def roll_up_lines(lines: DataFrame) -> DataFrame:
-    """One row per order: sums by type, counts, cut and plank samples, sampled categories."""
+    """One row per order: sums by type, counts, cut and plank samples, sampled categories.
+
+    Lines are read and shuffled once. Skus and colors are told apart in sets, which hold no more than an order's lines.
+    """
     def of_type(kind):
         return F.sum(F.when(F.col("sample_type") == kind, F.col("sample_quantity")).otherwise(0))
 
     is_sample = F.col("line_item_type") == rules.SAMPLE
-    sums = lines.groupBy(*ORDER_KEY).agg(
+    counts = {
+        "distinct_sku_count": F.col("sku"),
+        "sample_color_count": F.when(F.col("sample_quantity") > 0, F.col("color")),
+        "product_color_count": F.when(F.col("product_quantity") > 0, F.col("color")),
+    }
+    return lines.groupBy(*ORDER_KEY).agg(
         *[F.sum(c).alias(out) for out, c in _LINE_SUMS.items()], F.count("*").alias("line_item_count"),
         of_type(rules.SAMPLE_CUT).alias("cut_sample_quantity"), of_type(rules.SAMPLE_PLANK).alias("plank_sample_quantity"),
         *[
             F.max(x.flag(is_sample & x.like_any("sku", patterns))).alias(f"sampled_{name}")
             for name, _, patterns in rules.CATEGORIES
         ],
+        *[F.size(F.collect_set(value)).cast("bigint").alias(out) for out, value in counts.items()],
     )
-    counts = {
-        "distinct_sku_count": F.col("sku"),
-        "sample_color_count": F.when(F.col("sample_quantity") > 0, F.col("color")),
-        "product_color_count": F.when(F.col("product_quantity") > 0, F.col("color")),
-    }
-    return zero_fill(sums.join(distinct_counts(lines, ORDER_KEY, counts), ORDER_KEY, "left"), list(counts))
 
 
 def with_household(orders: DataFrame, abbreviations: bool = False) -> DataFrame:
     """Adds normalised address and ZIP, household key and id; all NULL without address, ZIP or usable email.
 
-    The id is a 64-bit hash of the key: stable across runs, and compact to shuffle.
+    The id is a 64-bit hash of the key, for output; groups and joins go by the key itself.
     """
     email = F.col("email")
     known = (
@@ -72,6 +75,7 @@ def households(orders: DataFrame, abbreviations: bool = False) -> DataFrame:
     )
 
 
+# Column names.
 ORDER_HEADER = [
     "order_id", "email", "customer_id", "processed_at", "order_date", "order_year", "order_month", "order_quarter",
     "store", "product_price_threshold", "default_salesperson", "salesperson", "subtotal_price", "total_price",
@@ -216,25 +220,26 @@ def customer_funnel(orders: DataFrame, windows: Sequence[int] = rules.CONVERSION
     same as "its first sample came before the purchase", so no join back to orders is needed.
     """
     usable = orders.filter(F.col("email").isNotNull() & ~F.col("email").like(rules.MARKETPLACE_EMAIL))
-    newest = F.when(F.col("household_id").isNotNull(), F.struct("processed_at", "order_id", "store"))
+    newest = F.when(F.col("household_key").isNotNull(), F.struct("processed_at", "order_id", "store"))
     # A sample order without lines cannot exist, so the flag alone finds its categories.
     first_sampled = [
         F.min(F.when((F.col("is_sample_order") == 1) & (F.col(f"sampled_{name}") == 1), F.col("order_date"))).alias(f"_first_{name}")
         for name, _, _ in rules.CATEGORIES
     ]
     by_email = usable.groupBy("email").agg(
-        *_first_dates(""), *first_sampled, F.max_by("household_id", newest).alias("household_id")
+        *_first_dates(""), *first_sampled, F.max_by("household_key", newest).alias("household_key")
     )
-    by_house = usable.filter(F.col("household_id").isNotNull()).groupBy("household_id").agg(
+    by_house = usable.filter(F.col("household_key").isNotNull()).groupBy("household_key").agg(
         *_first_dates("household_"), F.count_distinct("email").alias("household_email_count")
     )
-    joined = left_join_sparse(_gaps(by_email, "", windows), _gaps(by_house, "household_", windows), "household_id")
+    joined = left_join_sparse(_gaps(by_email, "", windows), _gaps(by_house, "household_", windows), "household_key")
     done = joined.withColumns({
+        "household_id": F.when(F.col("household_key").isNotNull(), F.xxhash64("household_key")),
         "hybrid_conversion_ind": x.flag((F.col("conversion_ind") == 1) | (F.col("household_conversion_ind") == 1)),
         "sample_order_type": _sample_order_type(),
         "cohort_month": x.month_start("first_sample_order_date"),
     })
-    return done.drop(*[f"_first_{name}" for name, _, _ in rules.CATEGORIES])
+    return done.drop("household_key", *[f"_first_{name}" for name, _, _ in rules.CATEGORIES])
 
 
 def fct_orders(orders: DataFrame, funnel: DataFrame) -> DataFrame:
@@ -260,6 +265,7 @@ def fct_orders(orders: DataFrame, funnel: DataFrame) -> DataFrame:
     }).select(*FCT_ORDERS)
 
 
+# Column names.
 FCT_ORDERS = [
     "order_id", "email", "customer_id", "processed_at", "order_date", "order_year", "order_month", "order_quarter",
     "store", "salesperson", "order_type", "is_product_order", "is_sample_order", "is_accessory_only",
@@ -277,6 +283,7 @@ FCT_ORDERS = [
     "days_to_order", "sample_order_type", "customer_status", "is_new_customer", "is_returning_customer",
 ]
 
+# Column names.
 _ORDER_CONTEXT = [
     "email", "processed_at", "order_date", "order_year", "order_month", "order_quarter", "salesperson", "order_type",
     "is_product_order", "is_sample_order", "customer_status", "is_new_customer", "is_returning_customer",
@@ -284,6 +291,7 @@ _ORDER_CONTEXT = [
     "lifetime_product_orders", "lifetime_product_revenue", "lifetime_total_orders", "lifetime_total_revenue",
     "shipping_state", "shipping_state_code", "shipping_address_city",
 ]
+# Column names.
 _LINE_DETAIL = [
     "order_line_id", "order_id", "product_id", "variant_id", "store", "sku", "title", "line_item_name", "vendor",
     "variant_title", "line_item_type", "sample_type", "color", "quantity", "price", "line_total", "total_discount",

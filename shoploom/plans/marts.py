@@ -399,7 +399,7 @@ def web_funnel(sessions: DataFrame) -> DataFrame:
         *[F.sum(f"reached_{c}").alias(f"sessions_reached_{out}") for c, out in reach.items()],
         *[F.sum(f"dropped_at_{d}").alias(f"sessions_dropped_at_{d}") for d in drops],
         F.sum("is_converted_session").alias("converted_sessions"),
-        F.sum(F.col("transaction_value").cast("decimal(18,2)")).alias("_value"),
+        F.sum(F.col("transaction_value").cast("decimal(24,6)")).alias("_value"),
         *[F.sum(c).alias(f"_{c}") for c in ("session_duration_minutes", "total_events", "pdp_views")],
     )
     order = list(reach.values())
@@ -408,7 +408,7 @@ def web_funnel(sessions: DataFrame) -> DataFrame:
         **{f"{a}_to_{b}_rate": x.percent(f"sessions_reached_{b}", f"sessions_reached_{a}", otherwise=0) for a, b in steps},
         "overall_conversion_rate": x.percent("converted_sessions", "total_sessions", otherwise=0),
         **{f"{d}_dropoff_rate": x.percent(f"sessions_dropped_at_{d}", f"sessions_reached_{d}", otherwise=0) for d in drops},
-        "total_revenue": F.round("_value", 2),
+        "total_revenue": F.round("_value", 2).cast("decimal(18,2)"),
         "avg_order_value": x.rounded_ratio("_value", "converted_sessions", otherwise=0),
         "avg_session_duration_minutes": x.rounded_ratio("_session_duration_minutes", "total_sessions"),
         "avg_events_per_session": x.rounded_ratio("_total_events", "total_sessions"),

@@ -61,12 +61,16 @@ def channel(rows=rules.CHANNELS) -> Column:
 
 
 def channel_mix(orders: DataFrame) -> DataFrame:
-    """Week and channel: net sales, orders, share of the week, change on the week before."""
+    """Week and channel: net sales, orders, share of the week, change on the week before.
+
+    Both grains start from the same totals per order and channel, so facts are read and shuffled once.
+    """
     tagged = with_iso_week(_not_cancelled(orders)).withColumn("wbr_channel", channel())
-    by_channel = tagged.groupBy(*WEEK, "wbr_channel").agg(
-        F.sum("net_sales").alias("channel_net_sales"), F.count_distinct("order_id").alias("channel_orders")
+    per_order = tagged.groupBy(*WEEK, "wbr_channel", "order_id").agg(F.sum("net_sales").alias("net_sales"))
+    by_channel = per_order.groupBy(*WEEK, "wbr_channel").agg(
+        F.sum("net_sales").alias("channel_net_sales"), F.count("order_id").alias("channel_orders")
     )
-    by_week = tagged.groupBy("iso_year", "iso_week").agg(
+    by_week = per_order.groupBy("iso_year", "iso_week").agg(
         F.sum("net_sales").alias("total_net_sales"), F.count_distinct("order_id").alias("total_orders")
     )
     w = W.partitionBy("wbr_channel").orderBy("week_start")
@@ -79,20 +83,33 @@ def channel_mix(orders: DataFrame) -> DataFrame:
 
 
 def net_sales(orders: DataFrame) -> DataFrame:
-    """Weekly net sales with change on the week and the year before, and monthly net sales."""
-    valid = _not_cancelled(orders)
-    measures = [
-        F.sum("net_sales").alias("net_sales"), F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("email").alias("unique_customers"),
-    ]
-    weekly = with_iso_week(valid, start="period_start").groupBy("iso_year", "iso_week", "period_start").agg(*measures)
+    """Weekly net sales with change on the week and the year before, and monthly net sales.
+
+    Facts are read once: an order counts as itself, with its sales, and for its email. Tasks bring these narrow rows down
+    to one per day and order or email before they are shuffled; weeks and months start from them.
+    """
+    as_order = F.struct(F.lit("order").alias("kind"), F.col("order_id").cast("string").alias("value"), F.col("net_sales").alias("amount"))
+    as_email = F.struct(F.lit("email").alias("kind"), F.col("email").alias("value"), F.lit(None).cast("decimal(19,2)").alias("amount"))
+    daily = (
+        _not_cancelled(orders).select("order_date", F.explode(F.array(as_order, as_email)).alias("one")).select("order_date", "one.*")
+        .groupBy("order_date", "kind", "value").agg(F.sum("amount").alias("amount"))
+    )
+
+    def per_period(days: DataFrame, *period: str) -> DataFrame:
+        known = F.col("value").isNotNull()
+        return days.groupBy(*period, "kind", "value").agg(F.sum("amount").alias("amount")).groupBy(*period).agg(
+            F.sum("amount").alias("net_sales"), F.count_if(known & (F.col("kind") == "order")).alias("total_orders"),
+            F.count_if(known & (F.col("kind") == "email")).alias("unique_customers"),
+        )
+
+    weekly = per_period(with_iso_week(daily, start="period_start"), "iso_year", "iso_week", "period_start")
     before = F.lag("net_sales").over(W.orderBy("period_start"))  # one row per week
     weekly = weekly.withColumns({
         "grain": F.lit("weekly"),
         "prev_week_net_sales": before, "wow_change_pct": x.relative_change("net_sales", before),
         "prior_year_net_sales": same_week_last_year("net_sales"),
     }).withColumn("yoy_change_pct", x.relative_change("net_sales", "prior_year_net_sales"))
-    monthly = valid.groupBy(x.month_start("order_date").alias("month_start")).agg(*measures).withColumns({
+    monthly = per_period(daily.withColumn("month_start", x.month_start("order_date")), "month_start").withColumns({
         "grain": F.lit("monthly"), "iso_year": F.year("month_start"),
     })
     return stack(weekly, monthly)
@@ -178,23 +195,28 @@ def sku_performance(lines: DataFrame) -> DataFrame:
 def sample_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Weekly and monthly sample orders and sampled units, with change on the week and the year before.
 
-    Both grains start from one row per day (units) and per day and order (orders).
+    Orders are read once, to one row per day and order, and lines once, to one row per day. Each of these rows then counts
+    for its week and for its month.
     """
     valid = _not_cancelled(orders).filter(F.col("is_sample_order") == 1).select("order_date", "order_id").distinct()
     sampled = lines.filter((F.col("line_item_type") == rules.SAMPLE) & (F.col("is_cancelled") == 0)).groupBy(
         "order_date"
     ).agg(F.sum("quantity").alias("quantity"))
-    count, units = F.count_distinct("order_id").alias("sample_order_count"), F.sum("quantity").alias("sample_sku_count")
-    month = x.month_start("order_date").alias("month_start")
-    weekly = (
-        with_iso_week(valid).groupBy(*WEEK).agg(count)
-        .join(with_iso_week(sampled).groupBy(*WEEK).agg(units), WEEK, "full")
-        .na.fill(0, ["sample_order_count", "sample_sku_count"])
+    month = F.struct(F.lit("monthly").alias("grain"), x.month_start("order_date").alias("start"))
+    week = F.struct(F.lit("weekly").alias("grain"), x.iso_week_start("order_date").alias("start"))
+
+    def both_periods(df: DataFrame, *columns: str) -> DataFrame:
+        return df.select(F.explode(F.array(week, month)).alias("period"), *columns).select("period.*", *columns)
+
+    ordered = both_periods(valid, "order_id").distinct().select("grain", "start", F.lit(1).alias("orders"))
+    found = stack(ordered, both_periods(sampled, "quantity")).groupBy("grain", "start").agg(
+        F.coalesce(F.sum("orders"), F.lit(0)).alias("sample_order_count"), F.coalesce(F.sum("quantity"), F.lit(0)).alias("sample_sku_count"),
+        F.count("orders").alias("_ordered"),
     )
-    monthly = (
-        valid.groupBy(month).agg(count).join(sampled.groupBy(month).agg(units), "month_start", "left")
-        .na.fill(0, ["sample_sku_count"])
-        .withColumns({"grain": F.lit("monthly"), "iso_year": F.year("month_start")})
+    weekly = with_iso_week(found.filter("grain = 'weekly'"), day="start").drop("grain", "start", "_ordered")
+    # A month has a row if samples were ordered in it.
+    monthly = found.filter("grain = 'monthly' AND _ordered > 0").select(
+        "grain", F.col("start").alias("month_start"), F.year("start").alias("iso_year"), "sample_order_count", "sample_sku_count"
     )
     w = W.orderBy("week_start")  # one row per week
     both = (("sample_order_count", "sample_orders"), ("sample_sku_count", "sample_skus"))

@@ -21,6 +21,7 @@ def per_store(stores: Sequence[rules.Store], attribute: str) -> Column:
     return x.ladder([(F.col("store") == s.name, getattr(s, attribute)) for s in stores])
 
 
+# Column names.
 _ADDRESS = {
     "address_1": "{}_address_line1", "address_2": "{}_address_line2", "city": "{}_address_city",
     "province": "{}_state", "province_code": "{}_state_code", "zip": "{}_address_zip",
@@ -225,6 +226,7 @@ def stage_search_ads(stats: DataFrame, campaigns: DataFrame, channel: str = "Goo
     return with_ad_ratios(joined).withColumn("channel", F.lit(channel))
 
 
+# Column names.
 _MAIL_COUNTS = {
     "total_count_unique_people": "recipients", "unique_count_received_email": "received",
     "unique_count_opened_email": "opened", "unique_count_clicked_email": "clicked",
@@ -235,6 +237,7 @@ _MAIL_COUNTS = {
     "sum_revenue_refunded_order": "refunded_revenue", "sum_revenue_cancelled_order": "cancelled_revenue",
     "unique_count_received_sms": "sms_received", "unique_count_clicked_sms": "sms_clicked",
 }
+# Column names.
 _MAIL_RATES = {
     "open_rate": ("opened", "received"), "click_rate": ("clicked", "received"),
     "click_to_open_rate": ("clicked", "opened"), "unsubscribe_rate": ("unsubscribed", "received"),
