@@ -141,7 +141,7 @@ register(
 def _orphans(t):
     lineless = t.fct_orders.select("order_id", "store").join(t.lines.select("order_id", "store"), ["order_id", "store"], "left_anti")
     known = t.dim_customers.select("email")
-    unknown = t.fct_orders.select("email").join(known, "email", "left_anti").distinct()
+    unknown = t.fct_orders.select("email").distinct().join(known, "email", "left_anti")
     sampler = t.sample_conversions.select("email").join(known, "email", "left_anti")
     return (
         q.violations(lineless, "orders without lines", F.lit(True))

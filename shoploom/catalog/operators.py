@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from shoploom.plans import customers as c
 from shoploom.plans import marts as m
 from shoploom.plans import reports as r
 from shoploom.plans import staging as s
-from shoploom.session import shared_folder
+from shoploom.session import unique_path
 from shoploom.sources import sample_shop as feed
 from shoploom.sources.tables import as_view, read_shards, write_table
 
@@ -25,7 +23,7 @@ col = F.col
 
 
 def _path(t, name: str) -> str:
-    return f"{shared_folder(t.spark)}/table-{name}-{uuid.uuid4().hex}"
+    return unique_path(t.spark, f"table-{name}")
 
 
 def _money(name: str):
@@ -75,25 +73,38 @@ register(
 )
 register(
     "a07_table_sink_by_day",
-    lambda t: write_table(t.web_funnel, _path(t, "web_funnel"), "session_date", "day", ["deepest_funnel_stage"]).select(
+    lambda t: t.table_of("web_funnel").select(
         "session_date", "deepest_funnel_stage", "total_sessions", "converted_sessions"
     ),
     "SELECT session_date, deepest_funnel_stage, total_sessions, converted_sessions FROM k27",
 )
 register(
     "a08_table_sink_by_month",
-    lambda t: write_table(t.funnel, _path(t, "funnel"), "first_sample_order_date", "month", ["sample_order_type"]).select(
-        "email", "first_sample_order_date", "first_sample_order_date_month", "sample_order_type"
+    lambda t: t.table_of("sample_conversions").select(
+        "email", "first_sample_order_date", "first_sample_order_date_month", "sample_order_type", "conversion_ind"
     ),
-    "SELECT email, first_sample_order_date, cohort_month AS first_sample_order_date_month, sample_order_type FROM k13",
+    """SELECT email, first_sample_order_date, CAST(date_trunc('month', first_sample_order_date) AS DATE) AS first_sample_order_date_month,
+    sample_order_type, conversion_ind FROM k19""",
 )
 register(
     "a09_table_sink_clustered",
-    lambda t: write_table(t.lines, _path(t, "lines"), cluster_by=["sku", "line_item_type", "store", "color"]).select(
+    lambda t: t.table_of("fct_order_lines").select(
         "order_line_id", "order_id", "store", "sku", "color", "line_item_type", "quantity"
     ),
-    "SELECT order_line_id, order_id, store, sku, color, line_item_type, quantity FROM k02",
-)
+    "SELECT order_line_id, order_id, store, sku, color, line_item_type, quantity FROM k18",
+)
+# The other results that are kept as tables, each written with its own layout: all columns but the hash id.
+_SINKS = {
+    "funnel": "k13", "fct_orders": "k17", "dim_customers": "k16", "ad_performance": "k25", "daily_performance": "k20",
+    "weekly_product_sales": "k21", "monthly_cohorts": "k22", "unit_economics": "k23", "email_performance": "k26",
+    "fct_shipments": "k28",
+}
+for _name, _cte in _SINKS.items():
+    register(
+        f"a10_table_{_name}",
+        lambda t, name=_name: t.table_of(name).select(*[c for c in getattr(t, name).columns if c != "household_id"]),
+        f"SELECT * FROM {_cte}", exact=_name != "funnel",
+    )
 
 # --- B: projections, filters, predicates ---------------------------------------------
 
@@ -206,7 +217,7 @@ register(
         "order_id", "store", x.flag(col("refund_subtotal") > 0).alias("is_refunded"),
         x.flag(col("tags").like("%Retail%")).alias("is_retail"),
     ),
-    f"SELECT order_id, store, {flag('refund_subtotal > 0')} AS is_refunded, {flag(chr(39) + 'x' + chr(39) + ' || tags LIKE ' + chr(39) + '%Retail%' + chr(39))} AS is_retail FROM k01",
+    f"SELECT order_id, store, {flag('refund_subtotal > 0')} AS is_refunded, " + flag("tags LIKE '%Retail%'") + " AS is_retail FROM k01",
 )
 register(
     "b19_lookup_with_fallback",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,33 +13,89 @@ from shoploom.plans import customers as c
 from shoploom.plans import marts as m
 from shoploom.plans import reports as r
 from shoploom.plans import staging as s
-from shoploom.session import configure, cut
+from shoploom.session import configure, cut, inputs_state, remove, unique_path
 from shoploom.sources import sample_shop as feed
-from shoploom.sources.tables import source
+from shoploom.sources.tables import source, write_table
 
 STORES = tuple(
     rules.Store(st.name, feed.STORE_THRESHOLDS[st.name], st.default_salesperson) for st in rules.STORES
 )
 
-_cuts: dict[tuple[str, str, str], DataFrame] = {}
+# Partition column, its granularity and cluster columns of the results that are kept as tables, in the order
+# in which they are built.
+TABLES: dict[str, tuple[str | None, str, tuple[str, ...]]] = {
+    "funnel": (None, "day", ()),
+    "fct_orders": ("order_date", "day", ("email", "store", "order_type")),
+    "fct_order_lines": (None, "day", ("sku", "line_item_type", "store", "color")),
+    "dim_customers": (None, "day", ("email", "customer_group", "customer_type")),
+    "sample_conversions": ("first_sample_order_date", "month", ("sample_order_type", "conversion_ind", "cohort_month")),
+    "ad_performance": ("date_day", "day", ("channel", "campaign_name")),
+    "daily_performance": ("date_day", "day", ("store",)),
+    "weekly_product_sales": (None, "day", ("sku", "store", "line_item_type")),
+    "monthly_cohorts": ("cohort_month", "month", ("months_since_first_order",)),
+    "unit_economics": ("order_date", "day", ("store", "order_id")),
+    "email_performance": (None, "day", ("channel", "email_type")),
+    "web_funnel": ("session_date", "day", ("deepest_funnel_stage",)),
+    "fct_shipments": ("pickup_date", "day", ("carrier", "origin_state", "destination_state")),
+    "channel_mix": (None, "day", ()),
+    "net_sales": (None, "day", ()),
+    "product_performance": (None, "day", ()),
+    "sku_performance": (None, "day", ()),
+    "sample_orders": (None, "day", ()),
+    "sample_sku_ranking": (None, "day", ()),
+    "launch_sampling": (None, "day", ()),
+}
 
 
 class Shop:
-    """Lazy results; two wide ones that several results read are written once per session and folder."""
+    """Lazy results over the input tables in `folder`.
+
+    The two wide ones that several results read (classified orders, order fact) are written when first asked for, under
+    a name made from the state of the input files: a `Shop` made after an input was replaced builds them anew. The files
+    belong to whoever made the `Shop`; `release` removes them. `materialise` builds results as tables, each read by the
+    ones after it.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = configure(spark), folder
+        self.paths: list[str] = []
         self.as_of = F.lit(feed.AS_OF_ORDERS).cast("date")
         self.events_as_of = F.lit(feed.AS_OF_EVENTS).cast("date")
 
     def table(self, name: str) -> DataFrame:
         return source(self.spark, self.folder, name)
 
+    @cached_property
+    def state(self) -> str:
+        return inputs_state(self.spark, self.folder)
+
     def _cut(self, name: str, make) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _cuts:
-            _cuts[key] = cut(make(), name)
-        return _cuts[key]
+        df, path = cut(self.spark, name, self.state, make)
+        self.paths.append(path)
+        return df
+
+    def table_of(self, name: str, target: str | None = None) -> DataFrame:
+        """Write one result with its partitions and clusters and read it."""
+        partition, granularity, clusters = TABLES[name]
+        path = f"{target.rstrip('/')}/{name}" if target else unique_path(self.spark, f"table-{name}")
+        self.paths.append(path)
+        return write_table(getattr(self, name), path, partition, granularity, clusters)
+
+    def materialise(self, target: str, names: Iterable[str] = tuple(TABLES)) -> dict[str, DataFrame]:
+        """Build tables under the folder `target`, in order; from then on this `Shop` reads them wherever a result is asked for."""
+        wanted = set(names)
+        built = {}
+        for name in (n for n in TABLES if n in wanted):
+            columns = getattr(self, name).columns
+            built[name] = self.table_of(name, target)
+            self.__dict__[name] = built[name].select(*columns)
+        return built
+
+    def release(self) -> None:
+        """Remove the files of this `Shop`, after which its results can't be run any more."""
+        for path in self.paths:
+            remove(self.spark, path)
+        self.paths.clear()
 
     # feeds
     @cached_property

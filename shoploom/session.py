@@ -1,9 +1,10 @@
-"""Session settings the plans rely on, and the shared folder for cut tables."""
+"""Session settings the plans rely on, and tables written once in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,39 +17,66 @@ _SETTINGS = {
     # runtime split its join partition even when that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A table by day has a folder per day: few tasks list many folders each, instead of a task for each folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the plans rely on."""
+    """Apply the runtime SQL settings the plans rely on.
+
+    They must hold when a result is run, not only while it is built, so they stay set. Pass `spark.newSession()`
+    to keep them apart from one's own.
+    """
     for key, value in _SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
-_local_folder: str | None = None
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, else a temporary one in local mode."""
-    global _local_folder
+    """Folder every executor can reach: `spark.checkpoint.dir`, where it is unset one inside the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="shoploom-")
-    return _local_folder
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cuts").rstrip("/")
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system and path of `path`."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def inputs_state(spark: SparkSession, folder: str) -> str:
+    """A digest of the names, sizes and modification times of all files of the tables in `folder`."""
+    files, top = _files(spark, folder)
+    found, todo = [], [top]
+    while todo:
+        for s in files.listStatus(todo.pop()):
+            if s.isDirectory():
+                todo.append(s.getPath())
+            else:
+                found.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:24]
+
+
+def unique_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _files(spark, path)
+    files.delete(where, True)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet in the shared folder and read it back.
+def cut(spark: SparkSession, name: str, state: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """The result of `make`, written once as Parquet in the shared folder, and its path.
 
-    Used where several branches of a plan need the same wide result. The copy survives
-    the loss of executors, carries true sizes for the join choice, and each branch reads
-    only its own columns.
+    Used where several branches of a plan need the same wide result. The copy survives the loss of executors, carries
+    true sizes for the join choice, and each branch reads only its own columns. `state` names what the result is made
+    from; a copy that this application has finished for the same state is read again, whatever else has changed.
     """
-    path = f"{shared_folder(df.sparkSession)}/cut-{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path = f"{shared_folder(spark)}/cut-{name}-{spark.sparkContext.applicationId}-{state}"
+    files, where = _files(spark, path)
+    if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS")):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), path

@@ -43,8 +43,10 @@ def write_table(
 
     `partition_by` is a date column, kept whole for day granularity and accompanied by
     `<column>_month` for month granularity. Rows are ranged over the partition and cluster
-    columns, so each task writes few directories, a hot day is split over tasks, and row
-    groups carry narrow minima and maxima of the cluster columns.
+    columns and last over a hash of the whole row, so each task writes few directories, row
+    groups carry narrow minima and maxima of the cluster columns, and a hot day, cluster value
+    or NULL directory is dealt to as many tasks as its rows are worth. Ranges are found by a
+    sampling run of the plan: pass a table that is written or cheap to compute.
     """
     directory = partition_by
     if partition_by and granularity == "month":
@@ -52,7 +54,7 @@ def write_table(
         df = df.withColumn(directory, F.trunc(partition_by, "month"))
     layout = [c for c in (directory, *cluster_by) if c]
     if layout:
-        df = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
+        df = df.repartitionByRange(*layout, F.xxhash64(*df.columns)).sortWithinPartitions(*layout)
     writer = df.write.mode("overwrite")
     if directory:
         writer = writer.partitionBy(directory)

@@ -1,17 +1,22 @@
 """Relational helpers, data checks, sources and sinks, and the shape of the plans."""
 
+import datetime as dt
 import os
 import re
+import shutil
+from functools import cached_property
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import by, day, frame, ts
-from shoploom import session
+from shoploom import catalog, session
 from shoploom.catalog.shop import Shop
 from shoploom.operators import quality as q
 from shoploom.operators.relational import distinct_counts, left_join_sparse, most_common
 from shoploom.operators.windows import newest_per, prior, same_week_last_year, trailing
+from shoploom.plans import customers as c
 from shoploom.sources import schemas
 from shoploom.sources.tables import as_view, read_shards, write_table
 
@@ -103,10 +108,19 @@ def test_shards_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in physical(recent) and recent.schema["event_date"].dataType.simpleString() == "string"
 
 
-def test_cut_goes_to_the_named_folder(spark):
-    named = spark.conf.get("spark.checkpoint.dir")
-    out = session.cut(spark.range(10), "ten")
-    assert out.count() == 10 and out.inputFiles()[0].startswith(f"file://{named}/cut-ten-")
+def test_cut_is_written_once_per_state_to_the_named_folder(spark):
+    named, made = spark.conf.get("spark.checkpoint.dir"), []
+
+    def make():
+        made.append(1)
+        return spark.range(10)
+
+    out, path = session.cut(spark, "ten", "a", make)
+    assert path.startswith(f"{named}/cut-ten-") and out.count() == 10
+    assert session.cut(spark, "ten", "a", make)[1] == path and len(made) == 1
+    assert session.cut(spark, "ten", "b", make)[1] != path and len(made) == 2
+    session.remove(spark, path)
+    assert session.cut(spark, "ten", "a", make)[0].count() == 10 and len(made) == 3
 
 
 def physical(df) -> str:
@@ -118,10 +132,10 @@ def physical(df) -> str:
 def plans(spark):
     """Plans of all results with broadcasting off, as on large inputs."""
     shop = Shop(spark, SMOKE)
-    names = [n for n in dir(Shop) if not n.startswith("_") and n not in ("table",)]
+    names = [n for n, v in vars(Shop).items() if isinstance(v, cached_property) and n != "state"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        return {n: physical(getattr(shop, n)) for n in names if not n.endswith("as_of")}
+        return {n: physical(getattr(shop, n)) for n in names}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -147,13 +161,79 @@ def test_deduplication_reduces_before_the_shuffle(plans):
 def test_lifetime_windows_never_gather_a_customer(plans):
     """Wide orders are shuffled by customer and day; only sums per day are shuffled by customer."""
     plan = plans["fct_orders_plan"]
-    wide = [line for line in plan.splitlines() if "Window [" in line and "email" in line and "order_date" in line]
-    assert wide and all("email#" in line for line in wide)
+    windows = [re.findall(r"\[([^\[\]]*)\]", line) for line in plan.splitlines() if "Window [" in line]  # results, partition, order
+    wide = [set(re.findall(r"(\w+)#", lists[1])) for lists in windows if len(lists) > 2 and "processed_at#" in lists[2]]
+    assert wide and all({"email", "order_date"} <= keys for keys in wide)
     assert len(re.findall(r"hashpartitioning\(email#\d+, order_date#\d+", plan)) >= 2
 
 
 def test_scans_read_only_needed_columns(plans):
-    scan = [line for line in plans["sessions"].splitlines() if "FileScan" in line]
-    assert scan and all("ReadSchema" in line or "ReadSchema" in plans["sessions"] for line in scan)
+    read = [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", plans["sessions"])]
+    assert read and all(columns <= {"event_id", "ts", "user_id", "event_type", "value", "props"} for columns in read)
+    read = [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", plans["net_sales"])]
+    assert read and all(columns == {"order_date", "order_id", "email", "net_sales", "cancel_reason"} for columns in read)
     net = plans["net_sales"]
     assert "billing_state" not in net and "shipping_state" not in net
+
+
+def test_classification_reads_lines_once(spark):
+    shop = Shop(spark, SMOKE)
+    plan = physical(c.classify_orders(shop.orders, shop.lines))
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
+    assert not [line for line in plan.splitlines() if "Generate" in line and "l_orderkey" in line]
+
+
+def test_reports_read_facts_once(spark):
+    """Once run, no report scans the order fact twice or expands its rows; equal shuffles are reused."""
+    shop = Shop(spark, SMOKE)
+    for name in ("channel_mix", "net_sales"):
+        df = getattr(shop, name)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1, name
+        assert "Expand" not in plan, name
+
+
+def test_sink_splits_a_hot_value(spark, tmp_path):
+    """A day with nine tenths of the rows, and rows without a day, are written by several tasks."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 20 == 0, None).when(F.col("id") % 10 == 1, F.date_add(F.lit("2024-01-01"), (F.col("id") % 7).cast("int")))
+        .otherwise(F.lit("2024-02-01").cast("date")).alias("day"), F.col("id"), F.lit("same").alias("store"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these rows are few
+    try:
+        written = write_table(rows, f"{tmp_path}/t", "day", "day", ["store"])
+        months = write_table(rows.filter("day is null"), f"{tmp_path}/m", "day", "month", ["store"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert written.count() == 20_000 and written.filter("day is null").count() == 1000
+    files = written.select("day", F.input_file_name().alias("file")).distinct().groupBy("day").count()
+    assert {r["day"]: r["count"] for r in files.collect()}[dt.date(2024, 2, 1)] > 1
+    assert months.select(F.input_file_name()).distinct().count() > 1
+
+
+def test_replaced_input_is_seen(spark, tmp_path):
+    """No result of a former input is served after a table was replaced."""
+    for name in os.listdir(SMOKE):
+        shutil.copy(f"{SMOKE}/{name}", f"{tmp_path}/{name}")
+    query = catalog.queries()["a04_model_reference"]
+    before = sum(r["n"] for r in query(spark, str(tmp_path)).collect())
+    orders = pq.read_table(f"{SMOKE}/orders.parquet")
+    pq.write_table(orders.slice(0, orders.num_rows // 2), f"{tmp_path}/orders.parquet")
+    spark.catalog.refreshByPath(f"{tmp_path}/orders.parquet")
+    after = sum(r["n"] for r in query(spark, str(tmp_path)).collect())
+    assert 0 < after < 0.7 * before
+
+
+def test_tables_are_built_from_tables(spark, tmp_path):
+    shop, plain = Shop(spark, SMOKE), Shop(spark, SMOKE)
+    names = ["funnel", "dim_customers", "monthly_cohorts"]
+    built = shop.materialise(f"{tmp_path}/marts", names)
+    assert list(built) == names
+    for name in names:
+        mine, other = getattr(shop, name), getattr(plain, name)
+        assert mine.columns == other.columns and mine.count() == other.count()
+        assert all(f"marts/{name}/" in f for f in mine.inputFiles())
+    assert any("marts/funnel/" in f for f in shop.sample_conversions.inputFiles())
+    shop.release()
+    assert not os.path.exists(f"{tmp_path}/marts/funnel")

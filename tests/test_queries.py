@@ -1,7 +1,7 @@
 """Registered queries against their DuckDB statements, over whole tables.
 
-By default the composite results and what rests on own helpers; SHOPLOOM_TEST_QUERIES=all runs every
-query, and a comma-separated list of name prefixes runs those.
+Every query of the shop runs by default; SHOPLOOM_TEST_QUERIES, a comma-separated list of name prefixes, picks some.
+The training-data queries have their own tests in `tests/llm`.
 """
 
 import os
@@ -9,12 +9,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from shoploom import catalog
 from compare import difference, duck
 
 FOLDER = os.environ.get("SHOPLOOM_TEST_DIR", "/root/testdata/sf0.001")
-PREFIXES = os.environ.get("SHOPLOOM_TEST_QUERIES", "a,c16,d12,e05,g,k,m,n0")
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
-CHOSEN = [n for n in sorted(QUERIES) if PREFIXES == "all" or n.startswith(tuple(PREFIXES.split(",")))]
+PREFIXES = tuple(os.environ.get("SHOPLOOM_TEST_QUERIES", "").split(","))
+QUERIES, CHECKS = catalog.queries(), catalog.oracle_sql()
+CHOSEN = [n for n in sorted(QUERIES) if n.startswith(PREFIXES)]
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def con():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(CHECKS) and len(QUERIES) > 200
+    assert QUERIES.keys() <= entry.queries().keys() and CHECKS.keys() <= entry.oracle_sql().keys()
 
 
 def test_entry(spark):
