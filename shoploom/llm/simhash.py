@@ -167,5 +167,6 @@ class NearDuplicates:
     def kept(self) -> DataFrame:
         """The rows of `df` that stay, one of each component, with its columns."""
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
-        dropped = self.rows.join(self.rows.groupBy("root").agg(first), "root").where(F.col("rid") != F.col("first.rid")).select("rid")
+        stays = written(self.rows.groupBy("root").agg(first), "stays")  # so that a hot component's side of the join can be split
+        dropped = self.rows.join(stays, "root").where(F.col("rid") != F.col("first.rid")).select("rid")
         return unnested(self.blocks.marked(marks_of(dropped), "dropped").where("not dropped"))
