@@ -1,7 +1,8 @@
 """Main text of pages by wrapper induction.
 
-Pages of one host are parsed into trees of blocks and aligned with a reference page by simple tree matching. Nodes whose
-text is the same on most aligned pages are the host's template; slots whose text varies are content. The template's
+Pages of one host are parsed into trees of blocks and aligned with a reference tree by simple tree matching; it begins as
+a page of the most frequent shape, and nodes that it lacks are added to it. Nodes whose text is the same on most aligned
+pages are the host's template; slots whose text varies are content. The template's
 nodes, and regions whose tag, role or class names say that they are no main text, are left out of the extracted text.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -68,6 +70,7 @@ class Node:
     main: bool = False
     children: list[Node] = field(default_factory=list)
     text: str = ""
+    label: int = 0
     shape: int = 0
     size: int = 1
 
@@ -175,10 +178,10 @@ def parse(page: str) -> Node:
 
 
 def _shaped(root: Node) -> Node:
-    """Sets `shape`, equal for trees that differ in their texts only, and `size`."""
+    """Sets `shape`, equal for trees that differ in texts without a label only, and `size`, in which labels count too."""
     for node in reversed(list(root.walk())):
-        node.shape = zlib.crc32(repr((node.tag, node.beside, [c.shape for c in node.children])).encode())
-        node.size = 1 + sum(c.size for c in node.children)
+        node.shape = zlib.crc32(repr((node.tag, node.beside, node.label, [c.shape for c in node.children])).encode())
+        node.size = 1 + bool(node.label) + sum(c.size for c in node.children)
     return root
 
 
@@ -198,13 +201,13 @@ def _same_ends(a: Node, b: Node) -> tuple[list[tuple[Node, Node]], list[Node], l
     return ends, left[head : len(left) - tail], right[head : len(right) - tail]
 
 
-def align(one: Node, other: Node) -> list[tuple[Node, Node]]:
-    """Pairs of nodes matched by simple tree matching: same tags, same order, as many as possible.
+def align(one: Node, other: Node, memo: dict[tuple[int, int], int] | None = None) -> list[tuple[Node, Node]]:
+    """Pairs of nodes matched by simple tree matching: same tags, same order, as many as possible, equal labels first.
 
     Trees of the same shape match node by node. Children of equal shape at either end match in order, which leaves the
-    recurrence for those in between.
+    recurrence for those in between. `memo` keeps scores of shapes for further calls.
     """
-    memo: dict[tuple[int, int], int] = {}
+    memo = {} if memo is None else memo
 
     def table(x: list[Node], y: list[Node]) -> list[list[int]]:
         best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
@@ -257,6 +260,68 @@ def paths(root: Node) -> dict[int, str]:
     return out
 
 
+def _copy(node: Node) -> tuple[Node, list[tuple[Node, Node]]]:
+    """A copy of a tree, and the pairs of its nodes and the copied ones."""
+    top = Node(node.tag, node.beside, label=node.label)
+    pairs, stack = [], [(top, node)]
+    while stack:
+        new, old = stack.pop()
+        pairs.append((new, old))
+        new.children = [Node(c.tag, c.beside, label=c.label) for c in old.children]
+        stack.extend(zip(new.children, old.children, strict=True))
+    return top, pairs
+
+
+def _grown(reference: Node, tree: Node, memo: dict[tuple[int, int], int]) -> dict[int, Node]:
+    """The node of `reference` for each node of `tree`, by identity; nodes that it lacks are added to it in their order."""
+    found = {id(b): a for a, b in align(reference, tree, memo)} | {id(tree): reference}
+    size, stack = len(found), [tree]
+    while stack:
+        node = stack.pop()
+        inside, before = found[id(node)].children, None
+        for child in node.children:
+            if id(child) in found:
+                stack.append(child)
+            else:
+                new, pairs = _copy(child)
+                at = next((k for k, n in enumerate(inside, 1) if n is before), 0)
+                inside.insert(at, new)
+                found.update((id(b), a) for a, b in pairs)
+            before = found[id(child)]
+    if len(found) > size:
+        _shaped(reference)
+    return found
+
+
+def slots(trees: list[Node]) -> list[list[tuple[int, str, Node]]]:
+    """For each tree its texts as (slot, place, node): texts of different trees aligned with each other have the same slot.
+
+    Texts that stand at the same place of several trees are labels for the alignment, so that a block absent from some
+    pages does not push others into its slot. Trees equal but for their other texts are aligned once.
+    """
+    spots = []
+    for tree in trees:
+        places = paths(tree)
+        spots.append([(places[id(n)], n) for n in tree.walk() if n.tag == "#text"])
+    counts = Counter(spot for texts in spots for spot in {(place, n.text) for place, n in texts})
+    by_shape: dict[int, list[int]] = {}
+    for k, (tree, texts) in enumerate(zip(trees, spots, strict=True)):
+        for place, node in texts:
+            node.label = 1 + int(node.text) if counts[place, node.text] > 1 else 0
+        by_shape.setdefault(_shaped(tree).shape, []).append(k)
+    out: list = [None] * len(trees)
+    memo: dict[tuple[int, int], int] = {}
+    reference = None
+    for same in sorted(by_shape.values(), key=lambda s: (-len(s), -trees[s[0]].size, s[0])):
+        if reference is None:
+            reference = _shaped(_copy(trees[same[0]])[0])
+        found = _grown(reference, trees[same[0]], memo)
+        numbers = [id(found[id(n)]) for _, n in spots[same[0]]]  # nodes of the reference live as long as it does
+        for k in same:
+            out[k] = [(slot, place, n) for slot, (place, n) in zip(numbers, spots[k], strict=True)]
+    return out
+
+
 def skeleton(root: Node) -> bytes:
     """A tree without its texts: tag, whether it stands beside the main text, text hash and number of children in page order."""
     return "\n".join(f"{n.tag} {int(n.beside)} {text_key(n.text)} {len(n.children)}" for n in root.walk()).encode()
@@ -323,12 +388,8 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
 
     def one(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         found = [from_skeleton(x) for x in sorted(group.column("tree").to_pylist())]
-        reference, counts = found[0], {}
-        places = paths(reference)
-        for tree in found:
-            matched = ((n, n) for n in tree.walk()) if tree is reference else align(reference, tree)
-            for spot in {(places[id(a)], int(b.text)) for a, b in matched if b.tag == "#text"}:
-                counts[spot] = counts.get(spot, 0) + 1
+        found = [texts for texts in slots(found) if texts]  # empty pages have no vote
+        counts = Counter(spot for texts in found for spot in {(place, int(n.text)) for _, place, n in texts})
         counts[("", 0)] = len(found)
         return pa.table({
             "host": pa.array([key[0].as_py()] * len(counts), pa.string()), "place": pa.array([p for p, _ in counts], pa.string()),

@@ -100,3 +100,22 @@ def test_query_keeps_the_article(spark):
         article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         plain = " ".join(html.unescape(re.sub(r"</?(?:b)>", "", re.sub(r"<(?:p|/p|br|h1|/h1)>", " ", article))).split())
         assert r.text == plain and r.n_chars == len(plain)
+
+
+def extracted_texts(spark, htmls):
+    """The texts by row number of the pages of one host."""
+    rows = [(k, f"http://x.net/{k}", page) for k, page in enumerate(htmls)]
+    return {r.k: r.text for r in wrapper.extracted(spark.createDataFrame(rows, "k long, url string, html string")).collect()}
+
+
+def test_odd_pages_leave_the_template(spark):
+    page = "<div>Our menu</div><div><h2>{k}</h2><p>story {k} here</p></div><div>All rights reserved</div>"
+    found = extracted_texts(spark, [*(page.format(k=k) for k in range(40)), "", None, "bare text", "<div>few</div>"])
+    assert [found[k] for k in range(40)] == [f"{k} story {k} here" for k in range(40)]
+    assert [found[k] for k in range(40, 44)] == ["", "", "bare text", "few"]
+
+
+def test_texts_missing_from_the_first_page_have_slots():
+    trees = [from_skeleton(skeleton(parse(x))) for x in ("<div>a</div><p>1</p>", "<div>a</div><p>2</p>", "<div>a</div><ul><li>m</ul><p>3</p>", "<ul><li>m</ul><p>4</p>")]
+    first, second, third, fourth = ([slot for slot, _, _ in texts] for texts in wrapper.slots(trees))
+    assert first == second == [third[0], third[2]] and fourth == third[1:] and len(set(third)) == 3
