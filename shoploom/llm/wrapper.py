@@ -36,12 +36,23 @@ UNPARSED = frozenset("script style textarea title iframe noembed noframes xmp".s
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-BESIDE = frozenset("nav header footer aside form menu dialog button fieldset datalist head".split())
-BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
+# Regions beside the main text. Those in the first sets hold no main text of their own; those in the second may be wrapped
+# around a page.
+BESIDE = frozenset("nav footer aside menu dialog button datalist".split())
+BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog".split())
 BESIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent copyright disqus footer "
-    "header masthead menu menus modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related replies "
-    "respond share sharing sidebar sidebars sidenav social sponsor sponsored subscribe toolbar topbar widget widgets".split()
+    "menu menus modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related replies respond sidenav "
+    "sponsor sponsored subscribe".split()
+)
+AROUND = frozenset("header form fieldset".split())
+AROUND_ROLES = frozenset(["form"])
+AROUND_WORDS = frozenset("header masthead share sharing sidebar sidebars social toolbar topbar widget widgets".split())
+#: Words that go with those above in a class name or id, such as `menu-wrapper`. Any other word gives the name another sense.
+PART_WORDS = frozenset(
+    "area articles bar block body bottom box btn button buttons center column container fixed form global google group holder icon icons inner item items "
+    "left link links list main message mobile outer overlay page panel posts primary right row secondary section site slot sticky text the title top unit "
+    "wrap wrapper zone".split()
 )
 # Closing rules: an opening tag of the key ends an open element of the value that is not shut off by a list or table.
 _BLOCKS = frozenset(
@@ -68,6 +79,7 @@ class Node:
     tag: str
     beside: bool = False
     main: bool = False
+    cue: int = 0
     children: list[Node] = field(default_factory=list)
     text: str = ""
     label: int = 0
@@ -87,12 +99,85 @@ def _attributes(attrs: str) -> dict[str, str]:
     return {name.lower(): html.unescape(value.strip("\"'")) for name, value in _ATTR.findall(attrs)} if attrs.strip() else {}
 
 
-def _beside(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in BESIDE or tag in RAW or "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in BESIDE_ROLES:
-        return True
+#: What a tag and its attributes say: nothing; a region beside the main text that may be wrapped around it; one that is
+#: not unless it holds a main region; never shown.
+_NONE, _AROUND, _BESIDE, _UNSEEN = range(4)
+
+
+def _cue(tag: str, attrs: dict[str, str]) -> int:
+    role = attrs.get("role", "").lower()
+    if tag in RAW or tag == "head" or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        return _UNSEEN
+    if tag in BESIDE or role in BESIDE_ROLES:
+        return _BESIDE
+    cue = _AROUND if tag in AROUND or role in AROUND_ROLES else _NONE
     if tag in ("html", "body", "article", "main"):
-        return False
-    return any(w in BESIDE_WORDS for key in ("class", "id") for w in _NAMES.findall(attrs.get(key, "").lower()))
+        return cue
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
+        words = {w for w in _NAMES.findall(name) if len(w) > 1}
+        if words <= BESIDE_WORDS | AROUND_WORDS | PART_WORDS:
+            cue = max(cue, _BESIDE if words & BESIDE_WORDS else _AROUND if words & AROUND_WORDS else _NONE)
+    return cue
+
+
+def _settled(root: Node) -> Node:
+    """Sets `beside`: a cue holds unless the region turns out to be wrapped around the main text.
+
+    A main region overrides every cue around it, an article those that may be wrapped around a page, and a form with
+    more text than the rest of the page is no region of it. If a page would be left without text, its outermost such
+    regions count as the page, or else its outermost articles.
+    """
+    nodes = list(root.walk())
+    if not any(n.cue for n in nodes):
+        return root
+    mains: dict[int, int] = {}  # 1: an article inside, 2: a main region
+    for node in reversed(nodes):
+        inside = max((mains[id(c)] for c in node.children), default=0)
+        if node.cue == _UNSEEN or node.cue == _BESIDE and inside < 2:
+            node.beside, mains[id(node)] = True, 0
+        else:
+            node.beside = node.cue == _AROUND and not inside
+            own = 0 if node.beside or not node.main else 1 if node.tag == "article" else 2
+            mains[id(node)] = max(inside, own)
+
+    def shown(skip_forms: bool) -> int:
+        return sum(len(n.text) for n, depth, _ in _depths(root, lambda x: skip_forms and x.tag == "form" and x.cue == _AROUND) if depth == 0)
+
+    forms = [n for n in nodes if n.beside and n.cue == _AROUND and n.tag == "form"]
+    if forms and shown(True) > 2 * shown(False):
+        for node in forms:
+            node.beside = False
+    if not shown(False):
+        texts = [(depth, node) for node, depth, closed in _depths(root) if node.text and not closed]
+        least = min((depth for depth, _ in texts), default=0)
+        for node, depth, closed in _depths(root):
+            if node.beside and node.cue == _AROUND and depth <= least and not closed:
+                node.beside = False
+        if not texts:
+            articles = [depth for node, depth, _ in _depths(root) if node.main]
+            inside = set()
+            for node in reversed(nodes):
+                if node.cue != _UNSEEN and (node.main or any(id(c) in inside for c in node.children)):
+                    inside.add(id(node))
+            for node, depth, _ in _depths(root):
+                if id(node) in inside and depth <= min(articles):
+                    node.beside = False
+    return root
+
+
+def _depths(root: Node, passed=lambda node: False):
+    """Each node that may be shown, how many regions beside the main text it is in (itself among them), and whether one of them is surely beside."""
+    stack = [(root, 0, False)]
+    out = []
+    while stack:
+        node, depth, closed = stack.pop()
+        if node.cue == _UNSEEN:
+            continue
+        if node.beside and not passed(node):
+            depth, closed = depth + 1, closed or node.cue == _BESIDE
+        out.append((node, depth, closed))
+        stack.extend((c, depth, closed) for c in reversed(node.children))
+    return out
 
 
 def parse(page: str) -> Node:
@@ -146,9 +231,9 @@ def parse(page: str) -> Node:
             continue
         attrs = _attributes(found["attrs"])
         if tag in INLINE:
-            if _beside(tag, attrs) and len(open_nodes) < DEEPEST:
+            if (cue := _cue(tag, attrs)) and len(open_nodes) < DEEPEST:
                 flush()
-                node = Node(tag, beside=True)
+                node = Node(tag, cue=cue)
                 open_nodes[-1].children.append(node)
                 open_nodes.append(node)
                 marks.append((tag, len(open_nodes) - 1))
@@ -166,15 +251,16 @@ def parse(page: str) -> Node:
         for depth in range(len(open_nodes) - 1, 0, -1):
             if open_nodes[depth].tag in ends:
                 close(depth)
-            elif open_nodes[depth].tag in _SCOPE or open_nodes[depth].beside:
+            elif open_nodes[depth].tag in _SCOPE or open_nodes[depth].cue:
                 break
         if len(open_nodes) >= DEEPEST:
             continue
-        node = Node(tag, _beside(tag, attrs), tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or attrs.get("itemprop") == "articleBody")
+        main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or attrs.get("itemprop") == "articleBody"
+        node = Node(tag, main=main, cue=_cue(tag, attrs))
         open_nodes[-1].children.append(node)
         open_nodes.append(node)
     close(1)
-    return _shaped(root)
+    return _shaped(_settled(root))
 
 
 def _shaped(root: Node) -> Node:

@@ -119,3 +119,27 @@ def test_texts_missing_from_the_first_page_have_slots():
     trees = [from_skeleton(skeleton(parse(x))) for x in ("<div>a</div><p>1</p>", "<div>a</div><p>2</p>", "<div>a</div><ul><li>m</ul><p>3</p>", "<ul><li>m</ul><p>4</p>")]
     first, second, third, fourth = ([slot for slot, _, _ in texts] for texts in wrapper.slots(trees))
     assert first == second == [third[0], third[2]] and fourth == third[1:] and len(set(third)) == 3
+
+
+AROUND = [
+    ("<div class='page has-sidebar'><article>story</article></div>", "story"),
+    ("<div class='page has-sidebar'><p>story</p></div>", "story"),
+    ("<div id='content-widget'><p>story</p></div>", "story"),
+    ("<section id='share-price'><p>story</p></section>", "story"),
+    ("<form id=aspnetForm><div class=menu>m</div><article>story</article></form>", "story"),
+    ("<form id=aspnetForm><nav>m</nav><div><p>a story</p></div><form class=newsletter>q</form></form>", "a story"),
+    ("<p>home</p><div class=widget><article>story</article></div>", "story"),
+    ("<div class=sidebar><p>story</p><div class=widget>w</div></div>", "story"),
+    ("<div class=ad><main>story</main></div>", "story"),
+    ("<div class=related><article>story</article></div>", "story"),
+    ("<p>story</p><div class=comments><article>me too</article></div>", "story"),
+    ("<article>story</article><aside><article>other</article></aside>", "story"),
+    ("<form><article>story<div class=related><article>other</article></div></article></form>", "story"),
+    ("<div hidden><main>no</main></div><nav>no</nav>", ""),
+    ("<p>story</p><div class='menu-wrapper'>m</div><div class='top ad-300x250'>b</div><div id=sidebar-left>s</div><form>q</form>", "story"),
+]
+
+
+@pytest.mark.parametrize("page, text", AROUND)
+def test_names_around_the_main_text(page, text):
+    assert main_text(parse(page)) == text
