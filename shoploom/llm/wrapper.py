@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,8 +29,6 @@ from shoploom.llm.hosts import host_of
 SHARE, LEAST_PAGES = 0.9, 5
 #: Pages of a host are aligned in chunks of about this many.
 CHUNK = 256
-#: Elements nested deeper than this only part text, as in browsers.
-DEEPEST = 256
 
 # Elements by the HTML standard's rules, and words that name regions beside the main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -188,6 +189,7 @@ def parse(page: str) -> Node:
     """
     root = Node("#root")
     open_nodes, marks, run = [root], [], []
+    opened: Counter = Counter()  # open nodes by tag, so that deep pages are not searched in vain
 
     def flush():
         text = _SPACES.sub(" ", "".join(run)).strip()
@@ -197,6 +199,7 @@ def parse(page: str) -> Node:
 
     def close(depth: int):
         flush()
+        opened.subtract(n.tag for n in open_nodes[depth:])
         del open_nodes[depth:]
 
     at, size = 0, len(page)
@@ -222,20 +225,21 @@ def parse(page: str) -> Node:
                     if depth and len(open_nodes) > depth and open_nodes[depth].tag == tag:
                         close(depth)
                 continue
-            if tag == "br" or tag == "p" and not any(n.tag == "p" for n in open_nodes):
+            if tag == "br" or tag == "p" and not opened["p"]:
                 flush()
                 continue
-            depth = next((k for k in range(len(open_nodes) - 1, 0, -1) if open_nodes[k].tag == tag), 0)
+            depth = next((k for k in range(len(open_nodes) - 1, 0, -1) if open_nodes[k].tag == tag), 0) if opened[tag] else 0
             if depth:
                 close(depth)
             continue
         attrs = _attributes(found["attrs"])
         if tag in INLINE:
-            if (cue := _cue(tag, attrs)) and len(open_nodes) < DEEPEST:
+            if cue := _cue(tag, attrs):
                 flush()
                 node = Node(tag, cue=cue)
                 open_nodes[-1].children.append(node)
                 open_nodes.append(node)
+                opened[tag] += 1
                 marks.append((tag, len(open_nodes) - 1))
             else:
                 marks.append((tag, 0))
@@ -248,17 +252,16 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
             continue
         ends = _ENDS.get(tag, ())
-        for depth in range(len(open_nodes) - 1, 0, -1):
+        for depth in range(len(open_nodes) - 1, 0, -1) if any(opened[t] for t in ends) else ():
             if open_nodes[depth].tag in ends:
                 close(depth)
             elif open_nodes[depth].tag in _SCOPE or open_nodes[depth].cue:
                 break
-        if len(open_nodes) >= DEEPEST:
-            continue
         main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or attrs.get("itemprop") == "articleBody"
         node = Node(tag, main=main, cue=_cue(tag, attrs))
         open_nodes[-1].children.append(node)
         open_nodes.append(node)
+        opened[tag] += 1
     close(1)
     return _shaped(_settled(root))
 
@@ -287,6 +290,13 @@ def _same_ends(a: Node, b: Node) -> tuple[list[tuple[Node, Node]], list[Node], l
     return ends, left[head : len(left) - tail], right[head : len(right) - tail]
 
 
+def _depth(root: Node) -> int:
+    level, depth = [root], 0
+    while level:
+        level, depth = [c for n in level for c in n.children], depth + 1
+    return depth
+
+
 def align(one: Node, other: Node, memo: dict[tuple[int, int], int] | None = None) -> list[tuple[Node, Node]]:
     """Pairs of nodes matched by simple tree matching: same tags, same order, as many as possible, equal labels first.
 
@@ -294,6 +304,9 @@ def align(one: Node, other: Node, memo: dict[tuple[int, int], int] | None = None
     recurrence for those in between. `memo` keeps scores of shapes for further calls.
     """
     memo = {} if memo is None else memo
+    deepest = min(_depth(one), _depth(other))
+    if 3 * deepest + 1000 > sys.getrecursionlimit():  # calls below go two for a level, and through no C function
+        sys.setrecursionlimit(3 * deepest + 1000)
 
     def table(x: list[Node], y: list[Node]) -> list[list[int]]:
         best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
@@ -335,13 +348,18 @@ def align(one: Node, other: Node, memo: dict[tuple[int, int], int] | None = None
     return out
 
 
-def paths(root: Node) -> dict[int, str]:
-    """Each node's place, the tags from the root on, by the node's identity."""
-    out, stack = {id(root): ""}, [root]
+@lru_cache(1 << 16)
+def _place(parent: int, tag: str) -> int:
+    return int.from_bytes(blake2b(f"{parent}/{tag}".encode(), digest_size=7).digest())
+
+
+def paths(root: Node) -> dict[int, int]:
+    """Each node's place, a hash of the tags from the root on, by the node's identity."""
+    out, stack = {id(root): 0}, [root]
     while stack:
         node = stack.pop()
         for child in node.children:
-            out[id(child)] = f"{out[id(node)]}/{child.tag}"
+            out[id(child)] = _place(out[id(node)], child.tag)
             stack.append(child)
     return out
 
@@ -379,7 +397,7 @@ def _grown(reference: Node, tree: Node, memo: dict[tuple[int, int], int]) -> dic
     return found
 
 
-def slots(trees: list[Node]) -> list[list[tuple[int, str, Node]]]:
+def slots(trees: list[Node]) -> list[list[tuple[int, int, Node]]]:
     """For each tree its texts as (slot, place, node): texts of different trees aligned with each other have the same slot.
 
     Texts that stand at the same place of several trees are labels for the alignment, so that a block absent from some
@@ -430,7 +448,7 @@ def from_skeleton(data: bytes) -> Node:
     return _shaped(nodes[0])
 
 
-def main_text(root: Node, template: frozenset[tuple[str, int]] = frozenset()) -> str:
+def main_text(root: Node, template: frozenset[tuple[int, int]] = frozenset()) -> str:
     """The texts in page order that stand neither beside the main text nor in the template (place, text hash).
 
     If some article or main region has such text, only those regions count.
@@ -443,7 +461,7 @@ def main_text(root: Node, template: frozenset[tuple[str, int]] = frozenset()) ->
         if node.beside:
             continue
         main = main or node.main
-        if node.text and (places.get(id(node), ""), text_key(node.text)) not in template:
+        if node.text and (places.get(id(node), 0), text_key(node.text)) not in template:
             all_texts.append(node.text)
             if main:
                 inside.append(node.text)
@@ -476,16 +494,16 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
         found = [from_skeleton(x) for x in sorted(group.column("tree").to_pylist())]
         found = [texts for texts in slots(found) if texts]  # empty pages have no vote
         counts = Counter(spot for texts in found for spot in {(place, int(n.text)) for _, place, n in texts})
-        counts[("", 0)] = len(found)
+        counts[(0, 0)] = len(found)
         return pa.table({
-            "host": pa.array([key[0].as_py()] * len(counts), pa.string()), "place": pa.array([p for p, _ in counts], pa.string()),
+            "host": pa.array([key[0].as_py()] * len(counts), pa.string()), "place": pa.array([p for p, _ in counts], pa.int64()),
             "text": pa.array([t for _, t in counts], pa.int64()), "n": pa.array(list(counts.values()), pa.int64()),
         })
 
-    votes = _chunks(pages).groupBy("host", "chunk").applyInArrow(one, "host string, place string, text long, n long")
+    votes = _chunks(pages).groupBy("host", "chunk").applyInArrow(one, "host string, place long, text long, n long")
     sums = written(votes.groupBy("host", "place", "text").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "votes")
-    totals = sums.where("place = ''").select("host", F.col("n").alias("pages"))
-    constant = sums.where("place != ''").join(totals, "host").where(F.col("n") >= share * F.col("pages"))
+    totals = sums.where("place = 0").select("host", F.col("n").alias("pages"))
+    constant = sums.where("place != 0").join(totals, "host").where(F.col("n") >= share * F.col("pages"))
     return constant.groupBy("host").agg(F.collect_list(F.struct("place", "text")).alias("nodes"))
 
 

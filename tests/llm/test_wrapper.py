@@ -143,3 +143,16 @@ AROUND = [
 @pytest.mark.parametrize("page, text", AROUND)
 def test_names_around_the_main_text(page, text):
     assert main_text(parse(page)) == text
+
+
+@pytest.mark.parametrize("depth", [300, 20_000])
+def test_deep_nests_close_in_their_order(depth):
+    nest = lambda inside: "<div>" * depth + inside + "</div>" * depth
+    page = "<nav>m</nav><div><article>one " + nest("two <nav>x</nav><div class=ad>y</div>") + " three</article></div><p>other</p>"
+    assert main_text(parse(page)) == "one two three"
+    assert main_text(parse("<div>" * depth + "<nav>x</nav>a</section></p>" * 10)) == " ".join("a" * 10)
+
+
+def test_deep_trees_align(spark):
+    trees = [parse("<div>" * 3000 + f"<p>{k}</p>" * k) for k in (1, 2)]
+    assert len(align(*trees)) == 3002
