@@ -1,8 +1,8 @@
 """Main text of pages by wrapper induction.
 
 Pages of one host are parsed into trees of blocks and aligned with a reference tree by simple tree matching; it begins as
-a page of the most frequent shape, and nodes that it lacks are added to it. Nodes whose text is the same on most aligned
-pages are the host's template; slots whose text varies are content. The template's
+a page of the most frequent shape, and nodes that it lacks are added to it. Slots whose few texts repeat over pages with
+different content are the host's template, whichever layout a page has; slots whose text varies are content. The template's
 nodes, and regions whose tag, role or class names say that they are no main text, are left out of the extracted text.
 """
 
@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 from shoploom.llm.common import bounded_batches, unnested, without, written
 from shoploom.llm.hosts import host_of
 
-#: A node is template if this share of the host's aligned pages have its text, and so many pages at least.
+#: A text repeats if so many pages of different content have it at the same place; it is template if, where it stands, texts
+#: that repeat fill this share of its slot's pages.
 SHARE, LEAST_PAGES = 0.9, 5
 #: Pages of a host are aligned in chunks of about this many.
 CHUNK = 256
@@ -83,6 +84,7 @@ class Node:
     cue: int = 0
     children: list[Node] = field(default_factory=list)
     text: str = ""
+    length: int = 0
     label: int = 0
     shape: int = 0
     size: int = 1
@@ -427,15 +429,15 @@ def slots(trees: list[Node]) -> list[list[tuple[int, int, Node]]]:
 
 
 def skeleton(root: Node) -> bytes:
-    """A tree without its texts: tag, whether it stands beside the main text, text hash and number of children in page order."""
-    return "\n".join(f"{n.tag} {int(n.beside)} {text_key(n.text)} {len(n.children)}" for n in root.walk()).encode()
+    """A tree without its texts: tag, whether it stands beside the main text, text hash and length, number of children in page order."""
+    return "\n".join(f"{n.tag} {int(n.beside)} {text_key(n.text)} {len(n.text)} {len(n.children)}" for n in root.walk()).encode()
 
 
 def from_skeleton(data: bytes) -> Node:
     nodes, counts = [], []
     for line in data.decode().split("\n"):
-        tag, beside, text, n = line.split(" ")
-        nodes.append(Node(tag, beside == "1", text=text))
+        tag, beside, text, length, n = line.split(" ")
+        nodes.append(Node(tag, beside == "1", text=text, length=int(length)))
         counts.append(int(n))
     stack: list[list] = []
     for node, n in zip(nodes, counts, strict=True):
@@ -479,32 +481,74 @@ def _chunks(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.int64()), pa.array(map(skeleton, roots), pa.binary())], names=["host", "main", "tree"])
 
     trees = pages.mapInArrow(run, "host string, main long, tree binary").groupBy("host", "main").agg(F.min("tree").alias("tree"))
-    sizes = written(pages.groupBy("host").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "hosts")
+    trees = written(trees, "trees")
+    sizes = trees.groupBy("host").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     return trees.join(sizes, "host").select("host", F.pmod(F.xxhash64("main"), F.col("chunks")).alias("chunk"), "tree")
 
 
+def _shown(root: Node) -> set[int]:
+    """The nodes that do not stand beside the main text, by identity."""
+    out, stack = set(), [root]
+    while stack:
+        node = stack.pop()
+        if not node.beside:
+            out.add(id(node))
+            stack.extend(node.children)
+    return out
+
+
+def _contents(trees: list[Node], texts: list[list[tuple[int, int, Node]]]) -> list[int]:
+    """For each tree its text in the slot that tells these trees apart best; long texts count more than many kinds.
+
+    Copies of a page under other adverts or dates are one content, or its own paragraphs would pass for repeated texts.
+    """
+    shown = [_shown(tree) for tree in trees]
+    kinds: dict[int, set[str]] = {}
+    for found, seen in zip(texts, shown, strict=True):
+        for slot, _, node in found:
+            if id(node) in seen:
+                kinds.setdefault(slot, set()).add(node.text)
+    out = []
+    for found, seen in zip(texts, shown, strict=True):
+        some = [((len(kinds[slot]) - 1) * n.length**2, n.length, n.text) for slot, _, n in found if id(n) in seen]
+        out.append(int(max(some)[2]) if some else 0)
+    return out
+
+
 def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """host, nodes (array of place and text hash): the constant nodes of each host, from `pages` (host, html).
 
-    Pages with the same main text count once, or a host's only article would pass for its template. What is kept of a
-    host is bounded by the nodes of a page, as few texts can each be on most pages.
+    Pages with the same main text count once, or a host's only article would pass for its template. Slots are aligned
+    within a chunk; which texts repeat is counted over the whole host.
     """
 
     def one(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        found = [from_skeleton(x) for x in sorted(group.column("tree").to_pylist())]
-        found = [texts for texts in slots(found) if texts]  # empty pages have no vote
-        counts = Counter(spot for texts in found for spot in {(place, int(n.text)) for _, place, n in texts})
-        counts[(0, 0)] = len(found)
+        trees = [from_skeleton(x) for x in sorted(group.column("tree").to_pylist())]
+        texts = slots(trees)
+        numbers: dict[int, int] = {}
+        rows: dict[tuple[int, int, int], list[int]] = {}
+        for content, found in zip(_contents(trees, texts), texts, strict=True):
+            seen = set()
+            for slot, place, node in found:
+                if (place, node.text) not in seen:
+                    seen.add((place, node.text))
+                    rows.setdefault((numbers.setdefault(slot, len(numbers)), place, int(node.text)), []).append(content)
         return pa.table({
-            "host": pa.array([key[0].as_py()] * len(counts), pa.string()), "place": pa.array([p for p, _ in counts], pa.int64()),
-            "text": pa.array([t for _, t in counts], pa.int64()), "n": pa.array(list(counts.values()), pa.int64()),
+            "host": pa.array([key[0].as_py()] * len(rows), pa.string()), "chunk": pa.array([key[1].as_py()] * len(rows), pa.int64()),
+            "slot": pa.array([s for s, _, _ in rows], pa.int64()), "place": pa.array([p for _, p, _ in rows], pa.int64()),
+            "text": pa.array([t for _, _, t in rows], pa.int64()), "n": pa.array(map(len, rows.values()), pa.int64()),
+            "contents": pa.array([sorted(set(c)) for c in rows.values()], pa.list_(pa.int64())),
         })
 
-    votes = _chunks(pages).groupBy("host", "chunk").applyInArrow(one, "host string, place long, text long, n long")
-    sums = written(votes.groupBy("host", "place", "text").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "votes")
-    totals = sums.where("place = 0").select("host", F.col("n").alias("pages"))
-    constant = sums.where("place != 0").join(totals, "host").where(F.col("n") >= share * F.col("pages"))
-    return constant.groupBy("host").agg(F.collect_list(F.struct("place", "text")).alias("nodes"))
+    schema = "host string, chunk long, slot long, place long, text long, n long, contents array<long>"
+    votes = written(_chunks(pages).groupBy("host", "chunk").applyInArrow(one, schema), "votes")
+    spot, slot = ["host", "place", "text"], ["host", "chunk", "slot"]
+    contents = votes.select(*spot, F.explode("contents").alias("content")).distinct()
+    repeated = written(contents.groupBy(*spot).agg(F.count("*").alias("contents")).where(F.col("contents") >= least), "repeated")
+    marked = votes.drop("contents").join(repeated.withColumnRenamed("contents", "repeats"), spot, "left")
+    filled = marked.groupBy(*slot).agg((F.sum(F.when(F.col("repeats") > 0, F.col("n")).otherwise(0)) / F.sum("n")).alias("filled")).where(F.col("filled") > 0)
+    constant = marked.where(F.col("repeats") > 0).join(filled, slot).groupBy(*spot).agg((F.sum(F.col("n") * F.col("filled")) / F.sum("n")).alias("filled"))
+    return constant.where(F.col("filled") >= share).groupBy("host").agg(F.collect_list(F.struct("place", "text")).alias("nodes"))
 
 
 def extracted(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame:

@@ -156,3 +156,21 @@ def test_deep_nests_close_in_their_order(depth):
 def test_deep_trees_align(spark):
     trees = [parse("<div>" * 3000 + f"<p>{k}</p>" * k) for k in (1, 2)]
     assert len(align(*trees)) == 3002
+
+
+def test_templates_of_several_layouts(spark):
+    notices = ["Buy the new phone", "Fly to the sun", "Read our mail"]
+    article = "<div>Our menu</div><div>{ad}</div><div><h2>{k}</h2><p>story {k} here</p></div><div>All rights reserved</div>"
+    listing = "<div>Unser Katalog</div><ul><li>ware {k}</li><li>preis {k}</li></ul><div>Impressum</div>"
+    no_menu = "<div>{ad}</div><div><h2>{k}</h2><p>story {k} here</p></div><div>All rights reserved</div>"
+    layouts = [article, article, listing, article, listing, no_menu, article, listing]
+    found = extracted_texts(spark, [layouts[k % 8].format(k=k, ad=notices[k % 3]) for k in range(64)])
+    assert all(found[k] == (f"ware {k} preis {k}" if layouts[k % 8] is listing else f"{k} story {k} here") for k in range(64))
+
+
+def test_repeated_content_is_no_template(spark):
+    body = lambda k: f"<p>the long first paragraph of story {k}</p><p>and its end {k}</p>"
+    copies = [f"<div>Our menu</div><div>visit {k}</div>{body(k % 8)}" for k in range(64)]
+    assert all(text.endswith(f"the long first paragraph of story {k % 8} and its end {k % 8}") for k, text in extracted_texts(spark, copies).items())
+    odd = [f"<div>Our menu</div><p>line {k}</p><p>{'Thank you' if k % 8 == 0 else f'word {k}'}</p>" for k in range(64)]
+    assert all(text == f"line {k} " + ("Thank you" if k % 8 == 0 else f"word {k}") for k, text in extracted_texts(spark, odd).items())
