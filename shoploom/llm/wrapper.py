@@ -150,7 +150,7 @@ def _settled(root: Node) -> Node:
     if forms and shown(True) > 2 * shown(False):
         for node in forms:
             node.beside = False
-    if not shown(False):
+    if not _has_text(root):
         texts = [(depth, node) for node, depth, closed in _depths(root) if node.text and not closed]
         least = min((depth for depth, _ in texts), default=0)
         for node, depth, closed in _depths(root):
@@ -168,6 +168,17 @@ def _settled(root: Node) -> Node:
     return root
 
 
+def _has_text(root: Node) -> bool:
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.text and not node.beside:
+            return True
+        if not node.beside:
+            stack.extend(node.children)
+    return False
+
+
 def _depths(root: Node, passed=lambda node: False):
     """Each node that may be shown, how many regions beside the main text it is in (itself among them), and whether one of them is surely beside."""
     stack = [(root, 0, False)]
@@ -269,9 +280,12 @@ def parse(page: str) -> Node:
 
 
 def _shaped(root: Node) -> Node:
-    """Sets `shape`, equal for trees that differ in texts without a label only, and `size`, in which labels count too."""
+    """Sets `shape`, equal for trees that differ in texts without a label only, and `size`, in which labels count too.
+
+    Shapes hold within a process.
+    """
     for node in reversed(list(root.walk())):
-        node.shape = zlib.crc32(repr((node.tag, node.beside, node.label, [c.shape for c in node.children])).encode())
+        node.shape = hash((node.tag, node.beside, node.label, *[c.shape for c in node.children]))
         node.size = 1 + bool(node.label) + sum(c.size for c in node.children)
     return root
 
@@ -563,15 +577,16 @@ def extracted(pages: DataFrame, url: str = "url", markup: str = "html") -> DataF
     found = written(templates(pages.select(host.alias("host"), page.alias("html"))), "templates")
     rest = without(pages, [markup])
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), host.alias("host"), page.alias("html"))
-    rows = rows.join(found, "host", "left").select("row", "html", "nodes")
+    rows = rows.join(found, "host", "left").select("row", "html", "nodes", "host")
     schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            texts = []
-            for source, nodes in zip(batch.column(1), batch.column(2), strict=True):
-                template = frozenset((n["place"], n["text"]) for n in nodes.as_py() or ())
-                texts.append(main_text(parse(source.as_py()), template))
+            texts, known = [], {}  # a host's template is read once for a batch
+            for source, nodes, name in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
+                if name not in known:
+                    known[name] = frozenset((n["place"], n["text"]) for n in nodes.as_py() or ())
+                texts.append(main_text(parse(source.as_py()), known[name]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
     return unnested(rows.mapInArrow(run, schema), "text", "n_chars")
