@@ -35,9 +35,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, where it is unset one inside the warehouse."""
+    """Folder every executor can reach: `spark.checkpoint.dir`, where it is unset one inside the warehouse.
+
+    On a cluster a warehouse in a local folder is the driver's own: there the setting must be given.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cuts").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{warehouse}/cuts"
 
 
 def _files(spark: SparkSession, path: str):
@@ -68,6 +76,27 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+_KEPT: list[tuple[str, str, str | None]] = []  # application, path, table
+
+
+def kept_path(spark: SparkSession, name: str, table: str | None = None) -> str:
+    """A new path in the shared folder for what an operator writes on its way; `release` removes it, with its table."""
+    path = f"{shared_folder(spark)}/{table}" if table else unique_path(spark, name)
+    _KEPT.append((spark.sparkContext.applicationId, path, table))
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all that operators of this application have written on their way; results that read it can't be run any more."""
+    mine = [k for k in _KEPT if k[0] == spark.sparkContext.applicationId]
+    for entry in mine:
+        _, path, table = entry
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(spark, path)
+        _KEPT.remove(entry)
+
+
 def cut(spark: SparkSession, name: str, state: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
     """The result of `make`, written once as Parquet in the shared folder, and its path.
 

@@ -215,7 +215,7 @@ def test_sink_splits_a_hot_value(spark, tmp_path):
 def test_replaced_input_is_seen(spark, tmp_path):
     """No result of a former input is served after a table was replaced."""
     for name in os.listdir(SMOKE):
-        shutil.copy(f"{SMOKE}/{name}", f"{tmp_path}/{name}")
+        shutil.copyfile(f"{SMOKE}/{name}", f"{tmp_path}/{name}")
     query = catalog.queries()["a04_model_reference"]
     before = sum(r["n"] for r in query(spark, str(tmp_path)).collect())
     orders = pq.read_table(f"{SMOKE}/orders.parquet")
