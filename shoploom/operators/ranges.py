@@ -56,10 +56,14 @@ class Ranged:
         earlier = W.partitionBy(*self.keys).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
         return sums.select(*self.keys, RANGE, *[F.sum(n).over(earlier).alias(f"_before_{n}") for n in values])
 
-    def running(self, values: Mapping[str, Column], peers: bool = False) -> DataFrame:
+    def running(self, values: Mapping[str, Column], peers: bool = False, beside: DataFrame | None = None) -> DataFrame:
         """The rows with a running sum of each value within its key. With `peers`, rows equal in `order` get the sum
-        that includes all of them, as a window's default frame gives."""
-        rows = _attached(self.rows, self._before(values), [*self.keys, RANGE])
+        that includes all of them, as a window's default frame gives.
+
+        `beside` holds further columns, one row per key. They are joined to the sums per range, so rows never meet by key.
+        """
+        before = self._before(values)
+        rows = _attached(self.rows, before if beside is None else _attached(before, beside, self.keys), [*self.keys, RANGE])
         inside = W.partitionBy(*self.keys, RANGE).orderBy(*self.order)
         if not peers:
             inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
