@@ -117,4 +117,41 @@ SQL = {
                AND {_ratio("n_cut_lines", "n_lines")} <= 0.3 AS kept
         FROM b
     """,
+    "op11_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                   ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+            FROM documents
+        ),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS place FROM s),
+        w AS (SELECT *, [5, 2, 1][(place - 1) % 3 + 1]::BIGINT AS weight FROM r),
+        c AS (
+            SELECT *, source_size / weight AS level,
+                   150 * sum(source_size) OVER () - 200 * (sum(source_size) OVER up_ - source_size) AS left_,
+                   sum(weight) OVER () - sum(weight) OVER up_ + weight AS open_
+            FROM w WINDOW up_ AS (ORDER BY source_size / weight, place ROWS UNBOUNDED PRECEDING)
+        ),
+        f AS (SELECT left_, open_, level AS from_level, place AS from_place FROM c WHERE 200 * source_size * open_ > weight * left_
+              ORDER BY level, place LIMIT 1),
+        t AS (
+            SELECT source, source_size,
+                   CASE WHEN from_level IS NOT NULL AND (level, place) >= (from_level, from_place)
+                        THEN least(weight * (f.left_::DOUBLE / 100) / f.open_::DOUBLE, 2.0::DOUBLE * source_size)
+                        ELSE 2.0::DOUBLE * source_size END AS target
+            FROM c LEFT JOIN f ON true
+        ),
+        p AS (
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS before
+            FROM d
+        ),
+        e AS (
+            SELECT p.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs,
+                   CASE WHEN source_size > 0 THEN floor(target)::BIGINT % source_size ELSE 0 END AS rest
+            FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken, source,
+               epochs::BIGINT AS epochs
+        FROM e
+    """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoploom.llm import checks, gam, hosts, language, lattice, packing, rules, wrapper
+from shoploom.llm import checks, gam, hosts, language, lattice, mixing, packing, rules, wrapper
 from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
 from shoploom.llm.hmm import LanguageModel
@@ -100,3 +100,10 @@ def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
     found = lattice.sampled(docs, path, lattice.piece_counts(docs, path))
     return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion")
+
+
+@query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words("text").alias("size"))
+    found = mixing.Mixture(docs, "size").taken()
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "epochs")
