@@ -154,4 +154,24 @@ SQL = {
                epochs::BIGINT AS epochs
         FROM e
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.rid AS anchor, a.vec_id AS anchor_id, r.rid AS other, r.vec_id AS other_id, a.label = r.label AS same,
+                   list_dot_product(a.q, r.q)::BIGINT AS score
+            FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.rid <> r.rid
+        ),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) <= 5),
+        n AS (
+            SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other_id)::INT AS rank
+            FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+    """,
 }
