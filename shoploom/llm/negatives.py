@@ -173,8 +173,8 @@ class HardNegatives:
                 lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 at = np.repeat(np.arange(len(lengths)), lengths)
                 with np.errstate(over="ignore", invalid="ignore"):
-                    q = np.floor(lists.flatten().fill_null(np.nan).to_numpy(zero_copy_only=False) * scale)
-                    norm2 = np.bincount(at, weights=q * q, minlength=len(lengths))
+                    q = np.floor(lists.flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).astype(np.float64) * scale)
+                    norm2 = np.bincount(at, weights=q * q, minlength=len(lengths)).astype(np.float64)
                 keep = lists.is_valid().to_numpy(zero_copy_only=False) & batch.column("label").is_valid().to_numpy(zero_copy_only=False) & np.isfinite(norm2)
                 offsets = np.concatenate([[0], np.cumsum(lengths[keep])]).astype(np.int32)
                 kept = batch.select(["id", "label", "anchor"]).filter(pa.array(keep))
