@@ -2,6 +2,8 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 _STOP = """'the','be','to','of','and','that','have','with','is','it','in','for','on','as','was','a',
     'le','la','les','de','des','et','en','un','une','que','est','dans','pour','du',
     'der','die','das','und','zu','den','von','mit','im','ist','ein','eine','auf',
@@ -174,4 +176,24 @@ SQL = {
         )
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
     """,
+    "op13_lexical_search": rf"""
+        WITH i AS (
+            SELECT item, item_id, unnest(list_distinct(regexp_extract_all({_LOWER}, '{_TERM}'))) AS term
+            FROM (SELECT row_number() OVER () AS item, * FROM benchmark)
+        ),
+        d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS terms FROM documents),
+        whole AS (SELECT count(*) FILTER (len(terms) > 0)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d),
+        tf AS (
+            SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM i) GROUP BY ALL
+        ),
+        w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term, n_docs),
+        m AS (SELECT rid, doc_id, 50 + (50 * len(terms)::BIGINT * n_docs) // n_terms AS m FROM d, whole WHERE len(terms) > 0),
+        s AS (
+            SELECT item, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+            FROM i JOIN tf USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 50
+    """,
 }

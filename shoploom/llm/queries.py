@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoploom.llm import checks, gam, hosts, language, lattice, mixing, negatives, packing, rules, wrapper
+from shoploom.llm import checks, gam, hosts, language, lattice, lexical, mixing, negatives, packing, rules, wrapper
 from shoploom.llm.common import in_fold, table
 from shoploom.llm.exact import ExactDuplicates
 from shoploom.llm.hmm import LanguageModel
@@ -114,3 +114,9 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.HardNegatives(rows, F.col("vec_id") % 100 == 0, label=moved).mined()
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
