@@ -181,6 +181,21 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _longest(impacts: DataFrame) -> DataFrame:
+    """About BUCKET_ROWS of the longest vectors, wherever they lie: any documents give scores that the best must reach. Of the level
+    of length that is not needed whole, a share by hash."""
+    level = F.floor(F.log(1 / RATIO, "length"))
+    sizes = impacts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # some hundred levels at most
+    above, last, share = 0, None, 1
+    for r in sizes:
+        last, share = r["level"], max(1, r["count"] // max(1, BUCKET_ROWS - above))
+        above += r["count"]
+        if above >= BUCKET_ROWS:
+            break
+    part = F.pmod(F.xxhash64("length", "id"), F.lit(share)) == 0
+    return impacts.where((level > last) | ((level == last) & part)) if sizes else impacts
+
+
 def _search_block(docs: DataFrame, pairs: list[tuple[int, str]], k: int) -> DataFrame:
     """The best of `docs` for the items in `pairs` (item, term)."""
     spark = docs.sparkSession
@@ -197,7 +212,7 @@ def _search_block(docs: DataFrame, pairs: list[tuple[int, str]], k: int) -> Data
     terms = [np.array([t for t in held[q] if weights[t] > 0 and t in df], dtype=np.int64) for q in numbers]
 
     impacts = written(_impacts(counted, n_docs, n_terms, weights > 0), "impacts")
-    longest = impacts.orderBy(F.desc("length")).limit(BUCKET_ROWS)
+    longest = _longest(impacts).sortWithinPartitions(F.desc("length"))
     first = _best(_searched(longest, numbers, terms, weights, np.zeros(len(numbers)), k), k).where(F.col("rank") == k)
     known = dict(first.select("item", "score").collect())  # one row per item of the block
     beat = np.array([known.get(q, 0) for q in numbers])
