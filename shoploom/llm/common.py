@@ -11,24 +11,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoploom.session import kept_path
+
 # Words are runs of anything but ASCII white space; bytes.split() cuts UTF-8 at exactly these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 BATCH_BYTES = 8 << 20
+MOST_BUCKETS = 50_000  # Spark refuses tables of more than 100,000
 _POSITION_BITS = 33  # of monotonically_increasing_id: the partition's number stands above, the row's below
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that `spark.checkpoint.dir` names; where it is unset, one inside the warehouse, which is shared too."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cuts").rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once as Parquet in the shared folder and read again: it survives lost executors and is not run twice."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """`df` written once as Parquet in the shared folder and read again: it survives lost executors and is not run twice.
+
+    `session.release` removes it.
+    """
+    path = kept_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -87,18 +87,19 @@ class Blocks:
 
     The table is bucketed by block. A bitmap for each block can thus be joined to the rows while the rows, with
     their texts, stay where they are: only the bitmaps are shuffled. A block holds no more than one scan or
-    shuffle partition, which bounds what is gathered for it.
+    shuffle partition, which bounds what is gathered for it; beyond MOST_BUCKETS blocks, several share a bucket.
+    `session.release` removes the table.
     """
 
     def __init__(self, df: DataFrame, name: str):
         spark = df.sparkSession
-        self.buckets = max(1, df.rdd.getNumPartitions())
+        self.buckets = min(MOST_BUCKETS, max(1, df.rdd.getNumPartitions()))
         number = F.monotonically_increasing_id()
         columns = [F.col(f"`{c}`") for c in df.columns]
         numbered = df.select(*columns, number.alias("rid")).withColumn("block", F.shiftright("rid", _POSITION_BITS))
         label = f"{name}_{uuid.uuid4().hex}"
         (
-            numbered.write.bucketBy(self.buckets, "block").option("path", f"{shared_folder(spark)}/{label}")
+            numbered.write.bucketBy(self.buckets, "block").option("path", kept_path(spark, name, table=label))
             .format("parquet").saveAsTable(label)
         )
         self.rows = spark.table(label)

@@ -12,7 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,7 +160,7 @@ def fit(values: np.ndarray, labels: np.ndarray) -> Model:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", id: str = "doc_id", label: str = "quality") -> Model:
     """Fitted on the documents of at most `rows` labels (0 or 1; others are left out), those with the smallest hashed id.
 
-    Only these few features and labels come to the driver.
+    Only these few features and labels come to the driver. Of documents with the same id one counts, by the hash of its text.
     """
     bounded_batches(docs.sparkSession)
     usable = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1) and _id is not null")
@@ -174,7 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
             columns = [pa.array(np.ascontiguousarray(c), pa.float64()) for c in found.T]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["y", *FEATURES])
 
-    table = texts.join(F.broadcast(chosen), "_id").select("_label", "_text").mapInArrow(measure, schema).toPandas()
+    one = Window.partitionBy("_id").orderBy(F.xxhash64("_text"), "_text")
+    named = texts.join(F.broadcast(chosen.select("_id").distinct()), "_id", "left_semi").withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+    table = named.join(F.broadcast(chosen), "_id").select("_label", "_text").mapInArrow(measure, schema).toPandas()
     table = table.sort_values(list(table.columns))  # sums don't depend on the order in which tasks end
     return fit(table[list(FEATURES)].to_numpy(), table["y"].to_numpy(dtype=float))
 

@@ -25,6 +25,7 @@ from shoploom.llm.wrapper import main_text, parse
 #: Hashed byte trigrams; a text counts as this many independent trigrams at most; smoothing in pages.
 BUCKETS, EFFECTIVE, ADDED, PRIOR_PAGES = 1 << 15, 60.0, 0.5, 5.0
 MOST_LANGUAGES = 200
+POOLED = "other"
 
 _DECLARED = re.compile(r"""<html\b[^>]*?\slang\s*=\s*["']?\s*([A-Za-z]{2,8})""", re.I)
 
@@ -38,8 +39,11 @@ def trigram_counts(text: bytes) -> np.ndarray:
     return np.bincount(mixed >> np.uint32(17), minlength=BUCKETS)
 
 
-def text_model(docs: DataFrame, text: str = "text", language: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages in order, and the log-likelihood of each trigram bucket (rows) in each. Rows without text or language don't count."""
+def text_model(docs: DataFrame, text: str = "text", language: str = "lang", most: int = MOST_LANGUAGES) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and the log-likelihood of each trigram bucket (rows) in each. Rows without text or language don't count.
+
+    The `most` languages with the most text (of equals the first by name) stand for themselves, all others together for POOLED.
+    """
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
@@ -55,9 +59,14 @@ def text_model(docs: DataFrame, text: str = "text", language: str = "lang") -> t
     bounded_batches(docs.sparkSession)
     known = docs.select(F.lower(F.trim(language)).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).where("lang != ''")
     sums = written(known.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
-    names = sorted(r["lang"] for r in sums.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes = sums.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    own = [r["lang"] for r in sizes]
+    if len(own) > most:
+        own = own[:most]
+        pooled = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(POOLED)
+        sums = sums.groupBy(pooled.alias("lang"), "bucket").agg(F.sum("n").alias("n"))
+        own = [*own, POOLED]
+    names = sorted(set(own))
     counts = np.full((BUCKETS, max(1, len(names))), 0.5)
     found = sums.toPandas()  # buckets times languages at most
     if len(found):
@@ -81,8 +90,9 @@ def declared_language(page: str) -> str:
 
 def address_code(url: Column) -> Column:
     """The first two-letter directory of the path, else the host's suffix."""
-    code = F.regexp_extract(F.lower(path_of(url)), r"^(?:/[^/]*)*?/([a-z]{2})(?=/)", 1)
-    return F.when(code != "", code).otherwise(suffix_of(host_of(url)))
+    parts = F.split(F.lower(path_of(url)), "/")
+    directories = F.slice(parts, F.lit(1), F.size(parts) - 1)
+    return F.coalesce(F.get(F.filter(directories, lambda d: d.rlike("^[a-z]{2}$")), F.lit(0)), suffix_of(host_of(url)))
 
 
 def _evidence(pages: DataFrame, logs: np.ndarray, url: str, markup: str) -> DataFrame:

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import json
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,13 +80,15 @@ def plan(counts: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
 
 
 def packed(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
-    """`pieces` with `sequence_id` and `offset`. Lengths are from 1 to `capacity`.
+    """`pieces` with `sequence_id` and `offset`. Lengths are from 1 to `capacity`; other rows (null, below, above) have no place:
+    both are null.
 
     Pieces of equal length are interchangeable and ranked by partition and place. An empty table gives an empty result;
     columns named `sequence_id` or `offset` are replaced.
     """
+    given = F.col(f"`{length}`")
     rows = written(
-        nested(pieces, _length=F.col(f"`{length}`").cast("int")).withColumn("_place", F.monotonically_increasing_id()), "pieces"
+        nested(pieces, _length=F.when(given.between(1, capacity), given.cast("int")).otherwise(0)).withColumn("_place", F.monotonically_increasing_id()), "pieces"
     )
     part = F.shiftright("_place", 33)
     per_part = rows.groupBy(part.alias("_part"), "_length").agg(F.count("*").alias("n"))
@@ -95,6 +98,7 @@ def packed(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY)
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in totals:
         counts[r["_length"]] = r["n"]
+    counts[0] = 0
     steps = np.array(plan(counts) or [(0, 0, 0, 0, 1, 0)], dtype=np.int64)
     steps = steps[np.lexsort((steps[:, 1], steps[:, 0]))]
 
@@ -117,8 +121,8 @@ def packed(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY)
         nth, each = rank - step[:, 1], step[:, 4]
         return pa.table({
             "row": group.column("row"),
-            "sequence_id": pa.array(step[:, 3] + nth // each, pa.int64()),
-            "offset": pa.array(step[:, 5] + nth % each * lengths, pa.int64()),
+            "sequence_id": pa.array(step[:, 3] + nth // each, pa.int64(), mask=lengths == 0),
+            "offset": pa.array(step[:, 5] + nth % each * lengths, pa.int64(), mask=lengths == 0),
         })
 
     both = rows.withColumn("_part", part).groupBy("_part").cogroup(starts.groupBy("_part"))
@@ -134,20 +138,36 @@ def _last_step(steps: np.ndarray, lengths: np.ndarray, rank: np.ndarray) -> np.n
 class Tokens:
     """The ids of texts under a byte-level BPE, as little-endian unsigned 32-bit numbers, with the end id.
 
-    The vocabulary file is that of `tokenizers`; `tiktoken` gives the same ids from it several times faster.
+    The vocabulary file is that of `tokenizers`; `tiktoken` gives the same ids from it several times faster, provided that the
+    file merges in the order of its ids, changes no text before and splits it by the usual pattern, which is checked. Texts
+    that its pattern engine refuses, such as very long runs of white space, go to `tokenizers`.
     """
 
     def __init__(self, path: str, end: int = 0):
         with open(path, encoding="utf-8") as file:
             found = json.load(file)
+        model, before = found["model"], found["pre_tokenizer"]
+        order = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if found["normalizer"] or model["type"] != "BPE" or order != sorted(order) or any(before.get(k) != v for k, v in usual.items()):
+            raise ValueError(f"{path} is not a byte-level vocabulary that merges in the order of its ids")
+        self.path = path
         to_byte = _byte_alphabet()
         special = {t["content"]: t["id"] for t in found["added_tokens"]}
         ranks = {bytes(to_byte[c] for c in token): rank for token, rank in found["model"]["vocab"].items() if token not in special}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.end = np.uint32(end).tobytes()
 
+    @cached_property
+    def plain(self) -> tokenizers.Tokenizer:
+        return tokenizers.Tokenizer.from_file(self.path)
+
     def __call__(self, text: str) -> bytes:
-        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() + self.end
+        try:
+            found = self.encoding.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            found = np.array(self.plain.encode(text, add_special_tokens=False).ids)
+        return found.astype("<u4").tobytes() + self.end
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -166,7 +186,8 @@ def token_pieces(docs: DataFrame, path: str, text: str = "text", id: str = "doc_
     """doc_id, piece, start, length, ids_crc32 and, if `ids`, the ids themselves as binary.
 
     A null text counts as empty: its only id is the end. Documents of more than `capacity` ids are cut into pieces of
-    that many, the first of which holds what is over.
+    that many, the first of which holds what is over. Other columns are not kept; documents that share an id can't be told
+    apart by it, their pieces are all there.
     """
     bounded_batches(docs.sparkSession)
     thin = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))

@@ -44,6 +44,17 @@ def test_odd_rows(spark):
     assert gam.scored(docs.limit(0), gam.train(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
 
 
+def test_training_rows_are_bounded(spark, monkeypatch):
+    """Thousands of documents with the id of the one label that is used count as one."""
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(3000)] + [(2, "other")], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(gam, "fit", lambda x, y: seen.append(len(y)))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    for n in (1, 2):
+        gam.train(docs, labels, rows=n)
+    assert seen == [1, 2]
+
+
 def test_held_out_accuracy(spark):
     found = queries()["op2_quality_classifier"](spark, FOLDER)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

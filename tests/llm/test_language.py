@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shoploom.llm import language
 from shoploom.llm.queries import queries
@@ -67,6 +68,24 @@ def test_against_plain_sums(spark, model):
         assert found[k].lang == lang and found[k].score == pytest.approx(score)
 
 
+def test_codes_in_long_addresses(spark):
+    urls = {
+        "http://a.de/" + "x/" * 100_000: "de", "http://a.de/" + "xyz/" * 100_000 + "FR/": "fr", "http://a.de/fr": "de", "http://a.de/fr/en/": "fr",
+        "http://a.de/fr?/en/": "de", "http://a.de": "de", "http://a.de/f1/é1/it/": "it", "http://a.de//es/": "es", "no": "", "": "",
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select("url", language.address_code(F.col("url")).alias("code"))
+    assert {r.url: r.code for r in df.collect()} == urls
+
+
+def test_many_languages_are_pooled(spark):
+    docs = [(f"t{k:03d} " * (400 - k), f"l{k}") for k in range(300)] + [("big " * 500, "other")]
+    names, logs = language.text_model(spark.createDataFrame(docs, "text string, lang string"), most=50)
+    assert names == sorted(["other", *[f"l{k}" for k in range(49)]]) and logs.shape[1] == 50
+    assert np.exp(logs).sum(axis=0) == pytest.approx(1)
+    names, logs = language.text_model(spark.createDataFrame(docs, "text string, lang string"))
+    assert len(names) == 200 and language.posterior(logs, "t299 " * 9).argmax() == names.index("other")
+
+
 def test_empty_and_untrained(spark):
     nothing = spark.createDataFrame([], "text string, lang string")
     untrained = language.text_model(nothing)

@@ -1,5 +1,6 @@
 import bisect
 import itertools
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -38,6 +39,31 @@ def test_ids_of_odd_texts(text):
     assert ids(text) == plain_ids(text)
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a" + "\n" * 600_000 + "b", "<|endoftext|>" + "\t " * 500_000])
+def test_long_runs_of_white_space(text):
+    assert ids(text) == plain_ids(text)
+
+
+def test_other_vocabularies_are_refused(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        found = json.load(file)
+    for part, value in (("normalizer", {"type": "NFC"}), ("pre_tokenizer", found["pre_tokenizer"] | {"add_prefix_space": True}),
+                        ("model", found["model"] | {"merges": found["model"]["merges"][::-1]})):
+        path = tmp_path / f"{part}.json"
+        path.write_text(json.dumps(found | {part: value}))
+        with pytest.raises(ValueError, match="byte-level"):
+            tokens_of(str(path), 0)
+
+
+def test_lengths_without_a_place(spark):
+    rows = [(None,), (0,), (-1,), (11,), (10,), (4,), (4,), (2,)]
+    found = packed(spark.createDataFrame(rows, "length int"), capacity=10).collect()
+    assert len(found) == len(rows)
+    assert {r.length for r in found if r.sequence_id is None and r.offset is None} == {None, 0, -1, 11}
+    assert len({r.sequence_id for r in found if r.sequence_id is not None}) == 2
+    assert packed(spark.createDataFrame([(None,)], "length int")).first().sequence_id is None
+
+
 @given(st.lists(st.integers(1, 30), max_size=9), st.integers(0, 40))
 def test_fullest_against_all_subsets(lengths, room):
     counts = np.bincount(np.array(lengths, dtype=int), minlength=41)
