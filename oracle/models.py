@@ -1,6 +1,6 @@
 """The results of `shoploom.plans` in SQL, over the CTEs of `oracle.feeds`."""
 
-from oracle import feeds  # noqa: F401
+from oracle import farm, feeds  # noqa: F401
 from oracle.sql import arms, change, cte, div, flag, local, monday, month, pct, ratio, safe, sunday
 
 _T = local("placed")
@@ -244,7 +244,7 @@ FROM (
   WINDOW so_far AS (PARTITION BY email ORDER BY processed_at, order_id, store ROWS UNBOUNDED PRECEDING))
 """)
 
-cte("k12", """
+cte("k12_rows", """
 SELECT order_id, email, processed_at, order_date, store, shipping_address_line1, shipping_address_line2, shipping_address_city, shipping_state,
   shipping_address_zip, shipping_address_country, normalized_address, normalized_zip, normalized_address || '|' || normalized_zip AS household_key
 FROM (
@@ -253,6 +253,7 @@ FROM (
       ELSE lower(regexp_replace(shipping_address_zip, '\\s+', '', 'g')) END AS normalized_zip
   FROM k01 WHERE shipping_address_line1 IS NOT NULL AND shipping_address_zip IS NOT NULL AND NOT contains(email, 'amazon'))
 """)
+cte("k12", "SELECT r.*, household_id FROM k12_rows r JOIN farm_ids ON k = household_key")
 
 cte("funnel_orders", """
 SELECT o.*, h.household_key AS house FROM k10 o LEFT JOIN k12 h USING (order_id, store) WHERE NOT contains(o.email, 'amazon')
@@ -297,12 +298,12 @@ FROM funnel_orders JOIN funnel_email USING (email)
 WHERE is_sample_order = 1 AND (first_product_order_date IS NULL OR order_date < first_product_order_date) GROUP BY email
 """)
 cte("k13", f"""
-SELECT e.*, h.* EXCLUDE (house), {flag('e.conversion_ind = 1 OR h.household_conversion_ind = 1')} AS hybrid_conversion_ind,
+SELECT e.*, h.* EXCLUDE (house), household_id, {flag('e.conversion_ind = 1 OR h.household_conversion_ind = 1')} AS hybrid_conversion_ind,
   CASE WHEN mix IS NULL THEN 'No Samples' WHEN mix = 'b' THEN 'Base Sample Only' WHEN mix = 's' THEN 'Signature Sample Only'
     WHEN mix = 'c' THEN 'Craftsman Sample Only' WHEN mix = 'v' THEN 'Silvan Sample Only' WHEN mix = 'b+s' THEN 'Base and Signature Sample Only'
     WHEN mix = 'b+c' THEN 'Base and Craftsman Sample Only' WHEN mix = 's+c' THEN 'Signature and Craftsman Sample Only'
     ELSE 'Mixed or Other' END AS sample_order_type, {month('first_sample_order_date')} AS cohort_month
-FROM funnel_email e LEFT JOIN funnel_home USING (email) LEFT JOIN funnel_house h USING (house) LEFT JOIN funnel_samples USING (email)
+FROM funnel_email e LEFT JOIN funnel_home USING (email) LEFT JOIN funnel_house h USING (house) LEFT JOIN farm_ids ON k = house LEFT JOIN funnel_samples USING (email)
 """)
 
 K17_COLUMNS = (

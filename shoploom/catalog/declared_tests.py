@@ -19,9 +19,7 @@ def _statement(result: str) -> str:
     declared, cte = TESTS[result], _CTE[result]
     rows = []
     for c in declared["not_null"].split():
-        # The check SQL holds the household key instead of its hash.
-        column = "household_key" if c == "household_id" else c
-        rows.append((f"not_null {c}", f"SELECT count(*) FROM {cte} WHERE {column} IS NULL"))
+        rows.append((f"not_null {c}", f"SELECT count(*) FROM {cte} WHERE {c} IS NULL"))
     for c, values in declared.get("accepted", {}).items():
         listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
         rows.append((f"accepted_values {c}", f"SELECT count(*) FROM {cte} WHERE {c} NOT IN ({listed})"))

@@ -102,7 +102,7 @@ _SINKS = {
 for _name, _cte in _SINKS.items():
     register(
         f"a10_table_{_name}",
-        lambda t, name=_name: t.table_of(name).select(*[c for c in getattr(t, name).columns if c != "household_id"]),
+        lambda t, name=_name: t.table_of(name).select(*getattr(t, name).columns),
         f"SELECT * FROM {_cte}", exact=_name != "funnel",
     )
 
@@ -377,10 +377,10 @@ register(
 register(
     "c16_left_sparse_key",
     lambda t: left_join_sparse(
-        t.classified.select("order_id", "store", "household_id", "household_key"),
-        t.classified.filter(col("household_id").isNotNull()).groupBy("household_id").agg(F.count("*").alias("house_orders")),
-        "household_id",
-    ).drop("household_id"),
+        t.classified.select("order_id", "store", "household_key"),
+        t.classified.filter(col("household_key").isNotNull()).groupBy("household_key").agg(F.count("*").alias("house_orders")),
+        "household_key",
+    ),
     """SELECT order_id, store, house AS household_key, house_orders FROM (SELECT o.order_id, o.store, household_key AS house FROM k10 o LEFT JOIN k12 USING (order_id, store))
     LEFT JOIN (SELECT household_key AS house, count(*) AS house_orders FROM k12 GROUP BY ALL) USING (house)""",
 )
@@ -774,12 +774,11 @@ _scalar("h06_regexp_extract", _o, _ok, lambda: {"seller": x.first_group("tags",
         {"seller": "nullif(regexp_extract(tags, 'Salesperson: (.*?),', 1), '')"}, "k01")
 _scalar("h07_regexp_replace", _o, _ok, lambda: {"address": x.normalised_address("shipping_address_line1")},
         {"address": "trim(regexp_replace(regexp_replace(lower(shipping_address_line1), '[.,#-]', '', 'g'), '\\s+', ' ', 'g'))"}, "k01")
-register(  # ids differ between engines, the grouping they induce does not
+register(
     "h08_stable_hash",
-    lambda t: c.with_household(t.orders).filter(col("household_id").isNotNull()).groupBy("household_id")
-    .agg(F.min("household_key").alias("household_key"), F.count("*").alias("orders"), F.count_distinct("household_key").alias("keys"))
-    .drop("household_id"),
-    "SELECT household_key, count(*) AS orders, 1::BIGINT AS keys FROM k12 GROUP BY ALL",
+    lambda t: t.households.groupBy("household_id")
+    .agg(F.min("household_key").alias("household_key"), F.count("*").alias("orders"), F.count_distinct("household_key").alias("keys")),
+    "SELECT household_id, min(household_key) AS household_key, count(*) AS orders, count(DISTINCT household_key) AS keys FROM k12 GROUP BY ALL",
 )
 _scalar("h09_timestamp_micros", lambda t: t.events_feed, ["event_bundle_sequence_id"], lambda: {"at": x.micros_to_utc("event_timestamp")},
         {"at": "event_timestamp_utc"}, "k04")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
+from shoploom.functions.farm import farm_fingerprint
 from shoploom.operators.relational import left_join_sparse, most_common, zero_fill
 from shoploom.operators.windows import running_totals
 
@@ -48,9 +49,10 @@ def roll_up_lines(lines: DataFrame) -> DataFrame:
 
 
 def with_household(orders: DataFrame, abbreviations: bool = False) -> DataFrame:
-    """Adds normalised address and ZIP, household key and id; all NULL without address, ZIP or usable email.
+    """Adds normalised address and ZIP and the household key; all NULL without address, ZIP or usable email.
 
-    The id is a 64-bit hash of the key, for output; groups and joins go by the key itself.
+    Groups and joins go by the key. The id, its 64-bit fingerprint, is made where it is shown: among billions of addresses
+    two may share one.
     """
     email = F.col("email")
     known = (
@@ -62,13 +64,13 @@ def with_household(orders: DataFrame, abbreviations: bool = False) -> DataFrame:
     return (
         orders.withColumns({"normalized_address": F.when(known, address), "normalized_zip": F.when(known, zip_code)})
         .withColumn("household_key", F.when(known, x.household_key("normalized_address", "normalized_zip")))
-        .withColumn("household_id", F.when(known, F.xxhash64("household_key")))
     )
 
 
 def households(orders: DataFrame, abbreviations: bool = False) -> DataFrame:
     """Orders that have a household, with the address they were matched on."""
-    return with_household(orders, abbreviations).filter(F.col("household_id").isNotNull()).select(
+    found = with_household(orders, abbreviations).filter(F.col("household_key").isNotNull())
+    return found.withColumn("household_id", farm_fingerprint("household_key")).select(
         "order_id", "email", "processed_at", "order_date", "store", "shipping_address_line1", "shipping_address_line2",
         "shipping_address_city", "shipping_state", "shipping_address_zip", "shipping_address_country",
         "normalized_address", "normalized_zip", "household_key", "household_id",
@@ -98,7 +100,7 @@ def classify_orders(
     """
     rolled = roll_up_lines(lines)
     measures = [c for c in rolled.columns if c not in ORDER_KEY]
-    with_keys = with_household(orders).select(*ORDER_HEADER, "household_key", "household_id")
+    with_keys = with_household(orders).select(*ORDER_HEADER, "household_key")
     joined = zero_fill(with_keys.join(rolled, ORDER_KEY, "left"), measures)
     has_sample, has_product = F.col("sample_quantity") > 0, F.col("product_quantity") > 0
     is_product = has_product & (F.col("subtotal_price") > min_subtotal)
@@ -231,10 +233,9 @@ def customer_funnel(orders: DataFrame, windows: Sequence[int] = rules.CONVERSION
     )
     by_house = usable.filter(F.col("household_key").isNotNull()).groupBy("household_key").agg(
         *_first_dates("household_"), F.count_distinct("email").alias("household_email_count")
-    )
+    ).withColumn("household_id", farm_fingerprint("household_key"))
     joined = left_join_sparse(_gaps(by_email, "", windows), _gaps(by_house, "household_", windows), "household_key")
     done = joined.withColumns({
-        "household_id": F.when(F.col("household_key").isNotNull(), F.xxhash64("household_key")),
         "hybrid_conversion_ind": x.flag((F.col("conversion_ind") == 1) | (F.col("household_conversion_ind") == 1)),
         "sample_order_type": _sample_order_type(),
         "cohort_month": x.month_start("first_sample_order_date"),
