@@ -74,23 +74,28 @@ class Ranged:
         """The rows with their place within their key, from 1. `order` should tell all rows of a key apart."""
         return self.running({name: F.lit(1).cast("int")}).withColumn(name, F.col(name).cast("int"))
 
-    def framed(self, reach: int, columns: Callable[[WindowSpec], Mapping[str, Column]]) -> DataFrame:
+    def framed(self, reach: int, columns: Callable[[WindowSpec], Mapping[str, Column]], beside: DataFrame | None = None) -> DataFrame:
         """The rows with `columns(window)`, where frames and lags over `window` reach at most `reach` rows back.
 
         Each range is worked on together with its halo, the `reach` rows of its key that stand right before it, which may
-        come from several ranges.
+        come from several ranges. `beside` holds further columns, one row per key, for `columns` to use.
         """
         here = W.partitionBy(*self.keys, RANGE)
-        tails = self.rows.withColumn("_back", F.row_number().over(here.orderBy(*self.backwards))).where(F.col("_back") <= reach)
         counts = self.rows.groupBy(*self.keys, RANGE).agg(F.count("*").alias("_n"))
         earlier = W.partitionBy(*self.keys).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
         starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        placed = _attached(tails, starts, [*self.keys, RANGE], "inner").withColumn("_place", F.col("_start") + F.col("_n") - F.col("_back"))
+        # Only where a key goes on in another range do its rows have a range to be a halo of.
+        upwards = W.partitionBy(*self.keys).orderBy(RANGE)
+        going_on = starts.withColumn("_next", F.lead(RANGE).over(upwards)).where("_next is not null").drop("_next")
+        ended = _attached(self.rows, going_on, [*self.keys, RANGE], "inner")
+        tails = ended.withColumn("_back", F.row_number().over(here.orderBy(*self.backwards))).where(F.col("_back") <= reach)
+        placed = tails.withColumn("_place", F.col("_start") + F.col("_n") - F.col("_back"))
         later = starts.select(*self.keys, F.col(RANGE).alias("_to"), F.col("_start").alias("_first"))
         wanted = (F.col(RANGE) < F.col("_to")) & (F.col("_place") >= F.col("_first") - reach)
         halo = _attached(placed, later, self.keys, "inner").where(wanted).withColumn(RANGE, F.col("_to")).select(
             *self.rows.columns, F.lit(True).alias("_halo")
         )
-        both = self.rows.withColumn("_halo", F.lit(False)).unionByName(halo)
+        own = self.rows if beside is None else _attached(self.rows, _attached(starts.select(*self.keys, RANGE), beside, self.keys), [*self.keys, RANGE])
+        both = own.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
         found = both.withColumns(columns(here.orderBy(F.desc("_halo"), *self.order)))
         return found.where("not _halo").drop(RANGE, "_halo")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
+from shoploom.operators.ranges import Ranged
 from shoploom.operators.relational import stack, zero_fill
 
 
@@ -256,7 +257,8 @@ def demand_features(lines: DataFrame, daily: DataFrame) -> DataFrame:
     """Day, store and sku of product lines in product orders: sales, calendar, lags, rolling statistics, ad context.
 
     Lags and frames count rows present, not calendar days. The line fact carries the order's
-    date, customer and type, so orders are not joined again.
+    date, customer and type, so orders are not joined again. A series may hold a large part of all rows: it is dealt to
+    ranges of days, which see the 89 rows before them.
     """
     group = [F.col("order_date").alias("date_day"), "store", "sku", "line_item_type", "color"]
     keys = ["date_day", "store", "sku", "line_item_type", "color"]
@@ -289,17 +291,22 @@ def demand_features(lines: DataFrame, daily: DataFrame) -> DataFrame:
             & (number.isin(*rules.HOLIDAY_WEEK_DAYS) | ((month == span_month) & number.between(span_first, span_last)))
         ),
     })
-    series = W.partitionBy("store", "sku").orderBy(day, "line_item_type", "color")
     sold = "quantity_sold"
-    lagged = dated.withColumns({
-        **{f"{sold}_lag_{n}d": F.lag(sold, n).over(series) for n in (7, 14, 28)},
-        **{f"{sold}_avg_{n}d": F.avg(sold).over(series.rowsBetween(1 - n, 0)) for n in (7, 28, 90)},
-        f"{sold}_stddev_28d": F.stddev_samp(sold).over(series.rowsBetween(-27, 0)),
-        # Exact total and row count of the 28 rows, so that the index rounds ties as decimals.
-        "_total": F.sum(sold).over(series.rowsBetween(-27, 0)), "_rows": F.count(sold).over(series.rowsBetween(-27, 0)),
-        "days_since_first_sale": F.datediff(day, F.min(day).over(W.partitionBy("store", "sku"))),
-        "days_since_last_sale": F.datediff(day, F.lag(day).over(series)),
-    })
+    ranged = Ranged(dated, ["store", "sku"], [day, "line_item_type", "color"])
+    first_sales = ranged.rows.groupBy("store", "sku").agg(F.min(day).alias("_first_sale"))
+
+    def rolling(series: WindowSpec) -> dict[str, Column]:
+        last_28 = series.rowsBetween(-27, 0)
+        return {
+            **{f"{sold}_lag_{n}d": F.lag(sold, n).over(series) for n in (7, 14, 28)},
+            **{f"{sold}_avg_{n}d": F.avg(sold).over(series.rowsBetween(1 - n, 0)) for n in (7, 28, 90)},
+            f"{sold}_stddev_28d": F.stddev_samp(sold).over(last_28),
+            # Exact total and row count of the 28 rows, so that the index rounds ties as decimals.
+            "_total": F.sum(sold).over(last_28), "_rows": F.count(sold).over(last_28),
+            "days_since_first_sale": F.datediff(day, "_first_sale"), "days_since_last_sale": F.datediff(day, F.lag(day).over(series)),
+        }
+
+    lagged = ranged.framed(89, rolling, beside=first_sales).drop("_first_sale")
     context = daily.select(
         "date_day", "store", F.col("total_ad_spend").alias("daily_ad_spend"), F.col("new_customers").alias("daily_new_customers")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
+from shoploom.operators.ranges import Ranged
 from shoploom.operators.relational import stack
 from shoploom.operators.windows import prior, same_week_last_year, trailing
 
@@ -152,13 +153,16 @@ def product_performance(lines: DataFrame) -> DataFrame:
     )
 
 
-def _rank(*order: Column) -> Column:
-    """Rank within a week. Ties go by sku, then by the remaining key."""
-    return F.row_number().over(W.partitionBy("iso_year", "iso_week").orderBy(*order))
+def _by_week(df: DataFrame, *order: str) -> Ranged:
+    """Rows in order within their week. Ties go by sku, then by the remaining key. A week's skus are ranked by several tasks."""
+    return Ranged(df, ["iso_year", "iso_week"], order)
 
 
 def sku_performance(lines: DataFrame) -> DataFrame:
-    """Sku by week: rank, change, trailing and prior six weeks with ranks, change against all skus."""
+    """Sku by week: rank, change, trailing and prior six weeks with ranks, change against all skus.
+
+    Ranks are found across ranges, which are written on the way.
+    """
     group = [*WEEK, "sku", "product_line", "wbr_product_subline"]
     weekly = (
         lines.filter((F.col("line_item_type") == rules.PRODUCT) & (F.col("is_cancelled") == 0) & (F.col("store") == "regular"))
@@ -170,7 +174,7 @@ def sku_performance(lines: DataFrame) -> DataFrame:
         )
     )
     ties = ["sku", "product_line", "wbr_product_subline"]
-    ranked = weekly.withColumn("weekly_rank", _rank(F.desc("net_dollars"), *ties))
+    ranked = _by_week(weekly, "-net_dollars", *ties).ranked("weekly_rank")
     w = W.partitionBy("sku").orderBy("week_start", "product_line", "wbr_product_subline")
     before = F.lag("net_dollars").over(w)
     rolled = ranked.withColumns({
@@ -181,15 +185,19 @@ def sku_performance(lines: DataFrame) -> DataFrame:
         "p6w_net_dollars": prior("net_dollars", w, TRAILING_WEEKS), "p6w_orders": prior("order_count", w, TRAILING_WEEKS),
         "t6w_week_count": F.count("*").over(w.rowsBetween(1 - TRAILING_WEEKS, 0)),
     })
-    week = W.partitionBy("iso_year", "iso_week")
-    all_now, all_before = F.sum("t6w_net_dollars").over(week), F.sum("p6w_net_dollars").over(week)
-    return rolled.withColumns({
+    trailed = _by_week(rolled, "-t6w_net_dollars", *ties)
+    totals = trailed.rows.groupBy("iso_year", "iso_week").agg(
+        F.sum("t6w_net_dollars").alias("_all_now"), F.sum("p6w_net_dollars").alias("_all_before")
+    )
+    both = trailed.running({"t6w_rank": F.lit(1)}, beside=totals).withColumns({
+        "t6w_rank": F.col("t6w_rank").cast("int"),
         "t6w_delta_dollars": F.col("t6w_net_dollars") - F.col("p6w_net_dollars"),
         "t6w_change_pct": x.relative_change("t6w_net_dollars", "p6w_net_dollars"),
-        "t6w_rank": _rank(F.desc("t6w_net_dollars"), *ties),
-        "p6w_rank": _rank(F.desc_nulls_last("p6w_net_dollars"), *ties),
-        "dtc_benchmark_pct": x.relative_change(all_now, all_before),
-    }).withColumn("delta_vs_dtc_pct", F.col("t6w_change_pct") - F.col("dtc_benchmark_pct"))
+        "dtc_benchmark_pct": x.relative_change(F.col("_all_now"), F.col("_all_before")),
+    }).drop("_all_now", "_all_before")
+    return _by_week(both, "-p6w_net_dollars", *ties).ranked("p6w_rank").withColumn(
+        "delta_vs_dtc_pct", F.col("t6w_change_pct") - F.col("dtc_benchmark_pct")
+    )
 
 
 def sample_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -241,15 +249,13 @@ def sample_sku_ranking(lines: DataFrame) -> DataFrame:
     )
     ties = ["sku", "product_line"]
     w = W.partitionBy("sku").orderBy("week_start", "product_line")
-    rolled = weekly.withColumn("weekly_rank", _rank(F.desc("qty_ordered"), *ties)).withColumns({
+    rolled = _by_week(weekly, "-qty_ordered", *ties).ranked("weekly_rank").withColumns({
         "prev_week_qty": F.lag("qty_ordered").over(w), "prev_week_rank": F.lag("weekly_rank").over(w),
         "wow_delta": F.col("qty_ordered") - F.lag("qty_ordered").over(w),
         "t6w_qty": trailing("qty_ordered", w, TRAILING_WEEKS), "p6w_qty": prior("qty_ordered", w, TRAILING_WEEKS),
     })
-    return rolled.withColumns({
-        "t6w_delta": F.col("t6w_qty") - F.col("p6w_qty"),
-        "t6w_rank": _rank(F.desc("t6w_qty"), *ties), "p6w_rank": _rank(F.desc_nulls_last("p6w_qty"), *ties),
-    })
+    trailed = _by_week(rolled, "-t6w_qty", *ties).ranked("t6w_rank")
+    return _by_week(trailed, "-p6w_qty", *ties).ranked("p6w_rank").withColumn("t6w_delta", F.col("t6w_qty") - F.col("p6w_qty"))
 
 
 def size_variant(sizes: Sequence = rules.SIZE_VARIANTS) -> Column:
@@ -259,8 +265,8 @@ def size_variant(sizes: Sequence = rules.SIZE_VARIANTS) -> Column:
 def launch_sampling(lines: DataFrame, line: str = rules.LAUNCH_LINE) -> DataFrame:
     """Daily samples of one product line by sku and size, with day totals and running totals.
 
-    All windows run on one row per day and sku of a single line, a table bounded by the calendar
-    and the line's skus, however many samples were ordered.
+    Windows run on one row per day and sku of a single line. A size may hold all of them: its running total, which all rows
+    of a day share, is carried across ranges of days.
     """
     daily = (
         lines.filter(
@@ -273,9 +279,9 @@ def launch_sampling(lines: DataFrame, line: str = rules.LAUNCH_LINE) -> DataFram
         )
     )
     n = F.sum("sample_line_count")
-    return daily.withColumns({
+    running = Ranged(daily, ["size_variant"], ["order_date"]).running({"size_cumulative": F.col("sample_line_count")}, peers=True)
+    return running.withColumns({
         "size_daily_total": n.over(W.partitionBy("order_date", "size_variant")),
         "daily_grand_total": n.over(W.partitionBy("order_date")),
         "sku_cumulative": n.over(W.partitionBy("sku").orderBy("order_date")),
-        "size_cumulative": n.over(W.partitionBy("size_variant").orderBy("order_date")),
     })
