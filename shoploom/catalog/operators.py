@@ -9,6 +9,7 @@ from oracle.sql import arms, change, div, flag, local, monday, month, pct, ratio
 from shoploom.catalog.registry import register
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
+from shoploom.operators import frequent
 from shoploom.operators.relational import left_join_sparse, most_common, stack, union_stores, zero_fill
 from shoploom.operators.windows import newest_per, prior, running_totals, same_week_last_year, trailing
 from shoploom.plans import customers as c
@@ -473,6 +474,26 @@ register(
     JOIN (SELECT email, store AS usual_store FROM (SELECT email, store, count(*) AS n FROM k17 GROUP BY ALL)
       QUALIFY row_number() OVER (PARTITION BY email ORDER BY n DESC, store) = 1) USING (email)""",
 )
+def _states_by_month(t):
+    """States per day, merged to months."""
+    known = t.fct_orders.filter("shipping_state IS NOT NULL")
+    daily = frequent.states(known, ["store", "order_date"], {"state": "shipping_state"})
+    months = frequent.merged(daily.withColumn("month", x.month_start("order_date")), ["store", "month"], ["state"])
+    best = frequent.top("state")
+    return months.select("store", "month", best["item"].alias("usual_state"), best["count"].alias("orders"))
+
+
+register(  # fewer values than a state holds, so counts are exact
+    "d12_merged_states", _states_by_month,
+    f"""SELECT store, month, shipping_state AS usual_state, n AS orders
+    FROM (SELECT store, {month('order_date')} AS month, shipping_state, count(*) AS n FROM k17 WHERE shipping_state IS NOT NULL GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY store, month ORDER BY n DESC, shipping_state) = 1""",
+)
+register(
+    "d12_customers_approximate",
+    lambda t: c.dim_customers(t.customers, t.funnel, t.fct_orders, t.as_of, feed.SEGMENTS, approximate=True),
+    "SELECT * FROM k16", True,
+)
 register(
     "d13_group_by_expression",
     lambda t: t.orders.groupBy(x.month_start("order_date").alias("month_start"), F.upper("store").alias("shop")).agg(F.count("*").alias("n")),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
 from shoploom.functions.farm import farm_fingerprint
+from shoploom.operators.frequent import usual_values
 from shoploom.operators.relational import left_join_sparse, most_common, zero_fill
 from shoploom.operators.windows import running_totals
 
@@ -315,10 +316,13 @@ def fct_order_lines(lines: DataFrame, orders: DataFrame, extra: Sequence[str] =
 
 
 def dim_customers(
-    customers: DataFrame, funnel: DataFrame, orders: DataFrame, as_of: Column | None = None, segments=rules.SEGMENTS
+    customers: DataFrame, funnel: DataFrame, orders: DataFrame, as_of: Column | None = None, segments=rules.SEGMENTS,
+    approximate: bool = False,
 ) -> DataFrame:
     """Customers with funnel, lifetime totals, usual location and store, recency, tenure and segment.
 
+    With `approximate`, usual values come from frequent-items states per customer and day instead of counts per value.
+
     `orders` is the order fact, unique by (order_id, store): orders per store are plain counts.
     """
     day = F.current_date() if as_of is None else as_of
@@ -329,12 +333,16 @@ def dim_customers(
         F.count_if(F.col("store") == "regular").alias("regular_order_count"),
         F.count_if(F.col("store") == "commercial").alias("commercial_order_count"),
     )
-    located = F.col("shipping_state").isNotNull()
+    located = "shipping_state IS NOT NULL"
     place = {
         "primary_shipping_state": "shipping_state", "primary_shipping_state_code": "shipping_state_code",
         "primary_shipping_city": "shipping_address_city",
     }
-    usual = most_common(orders, "email", {**place, "primary_store": "store"}, {c: located for c in place})
+    usual_of = {**place, "primary_store": "store"}
+    if approximate:
+        usual = usual_values(orders, "email", usual_of, {c: located for c in place})
+    else:
+        usual = most_common(orders, "email", usual_of, {c: F.expr(located) for c in place})
     attributes = customers.select(
         "email", "customer_id", "first_name", "last_name", "phone", "customer_group", "customer_type", "account_state",
         "is_verified_email", F.col("store").alias("source_store"), F.col("created_at").alias("account_created_at"),
