@@ -9,7 +9,7 @@ from oracle.sql import arms, change, div, flag, local, monday, month, pct, ratio
 from shoploom.catalog.registry import register
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
-from shoploom.operators import frequent
+from shoploom.operators import bitmaps, frequent
 from shoploom.operators.relational import left_join_sparse, most_common, stack, union_stores, zero_fill
 from shoploom.operators.windows import newest_per, prior, running_totals, same_week_last_year, trailing
 from shoploom.plans import customers as c
@@ -18,7 +18,7 @@ from shoploom.plans import reports as r
 from shoploom.plans import staging as s
 from shoploom.session import unique_path
 from shoploom.sources import sample_shop as feed
-from shoploom.sources.tables import as_view, read_shards, write_table
+from shoploom.sources.tables import as_view, read_shards, read_table, write_table
 
 col = F.col
 
@@ -44,7 +44,7 @@ def _sharded(t):
 def _overwritten(t):
     path = _path(t, "customers")
     write_table(t.customers, path)
-    return write_table(t.customers, path).select("email", "customer_id", "customer_group", "customer_type")
+    return write_table(read_table(t.spark, path), path).select("email", "customer_id", "customer_group", "customer_type")
 
 
 def _view(t):
@@ -399,6 +399,35 @@ register(
     "d03_count_distinct", lambda t: t.fct_order_lines.groupBy("sku", "store").agg(F.count_distinct("email").alias("customers")),
     "SELECT sku, store, count(DISTINCT email) AS customers FROM k18 GROUP BY ALL",
 )
+PERIODS = {"weekly": "date_trunc('week', order_date)::date", "monthly": "trunc(order_date, 'month')"}
+
+
+def _by_period(*counts):
+    return " UNION ALL ".join(
+        f"SELECT '{grain}' AS grain, {start} AS start, {', '.join(counts)} FROM k17 WHERE order_date IS NOT NULL GROUP BY ALL"
+        for grain, start in (("weekly", "date_trunc('week', order_date)::DATE"), ("monthly", month("order_date")))
+    )
+
+
+register(  # states per day, merged to weeks and months
+    "d03_bitmaps_by_period",
+    lambda t: bitmaps.distinct_by_period(
+        t.fct_orders.filter("order_date IS NOT NULL"), "order_date", {"orders": "order_id", "customers": "email"}, PERIODS
+    ),
+    _by_period("count(DISTINCT order_id) AS orders", "count(DISTINCT email) AS customers"),
+)
+register(
+    "d04_conditional_bitmaps",
+    lambda t: bitmaps.distinct_by_period(
+        t.fct_orders.filter("order_date IS NOT NULL").select(
+            "order_date", "email", F.when(col("is_sample_order") == 1, col("email")).alias("sampler"),
+            F.when(col("is_product_order") == 1, col("email")).alias("buyer"),
+        ),
+        "order_date", {"customers": "email", "samplers": "sampler", "buyers": "buyer"}, PERIODS,
+    ),
+    f"""SELECT * FROM ({_by_period('count(DISTINCT email) AS customers', 'count(DISTINCT email) FILTER (is_sample_order = 1) AS samplers',
+      'count(DISTINCT email) FILTER (is_product_order = 1) AS buyers')}) WHERE customers > 0""",
+)
 register(
     "d04_conditional_distinct",
     lambda t: t.lines.groupBy("store", "vendor").agg(

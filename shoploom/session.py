@@ -76,6 +76,32 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    files, where = _files(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside `path` and move it there in one step, over what is there."""
+    jvm = spark._jvm
+    files, beside = _files(spark, f"{path}-{uuid.uuid4().hex}")
+    stream = files.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(beside), files.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), options)
+
+
 _KEPT: list[tuple[str, str, str | None]] = []  # application, path, table
 
 

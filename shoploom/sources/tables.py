@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoploom.session import read_small, remove, replace_small
+
+POINTER = "_current"  # Spark's readers pass over names that begin so
+KEPT_VERSIONS = 2
+
 
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Full scan of one named Parquet table."""
@@ -23,7 +29,7 @@ def shards_since(df: DataFrame, as_of: Column, days: int, shard: str = "event_da
 
 def read_shards(spark: SparkSession, path: str, schema, as_of: Column, days: int, shard: str = "event_date") -> DataFrame:
     """Partitioned table, only its recent shards. The schema keeps the shard key a string."""
-    return shards_since(spark.read.schema(schema).parquet(path), as_of, days, shard)
+    return shards_since(spark.read.schema(schema).parquet(current_version(spark, path)), as_of, days, shard)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -32,14 +38,36 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Versions of the table that may be read, the newest first."""
+    return (read_small(spark, f"{path}/{POINTER}") or "").split()
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table's rows now; `path` itself for a plain folder of files."""
+    found = _versions(spark, path.rstrip("/"))
+    return f"{path.rstrip('/')}/{found[0]}" if found else path
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table. What is read stays that version, whatever is written later."""
+    return spark.read.parquet(current_version(spark, path))
+
+
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: str | None = None,
     granularity: str = "day",
     cluster_by: Sequence[str] = (),
+    keep: int = KEPT_VERSIONS,
 ) -> DataFrame:
-    """Overwrite a Parquet table and return it.
+    """Replace a Parquet table at once and return it.
+
+    Rows are written to a version folder of their own; only when all are there does a pointer file, replaced by one
+    rename, name that version. Readers of the version before go on, a run that fails leaves the table as it was, and a table may
+    be rebuilt from itself. `keep` versions stay, the newest included; older ones are removed. Of two writers at a time
+    the last one to finish is read.
 
     `partition_by` is a date column, kept whole for day granularity and accompanied by
     `<column>_month` for month granularity. Rows are ranged over the partition and cluster
@@ -48,6 +76,7 @@ def write_table(
     or NULL directory is dealt to as many tasks as its rows are worth. Ranges are found by a
     sampling run of the plan: pass a table that is written or cheap to compute.
     """
+    spark, path = df.sparkSession, path.rstrip("/")
     directory = partition_by
     if partition_by and granularity == "month":
         directory = f"{partition_by}_month"
@@ -55,8 +84,15 @@ def write_table(
     layout = [c for c in (directory, *cluster_by) if c]
     if layout:
         df = df.repartitionByRange(*layout, F.xxhash64(*df.columns)).sortWithinPartitions(*layout)
-    writer = df.write.mode("overwrite")
-    if directory:
-        writer = writer.partitionBy(directory)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(directory) if directory else df.write
+    version = f"version-{uuid.uuid4().hex}"
+    try:
+        writer.parquet(f"{path}/{version}")
+    except BaseException:
+        remove(spark, f"{path}/{version}")
+        raise
+    before = _versions(spark, path)
+    replace_small(spark, f"{path}/{POINTER}", "\n".join([version, *before[: max(1, keep) - 1]]))
+    for old in before[max(1, keep) - 1 :]:
+        remove(spark, f"{path}/{old}")
+    return spark.read.schema(df.schema).parquet(f"{path}/{version}")

@@ -35,7 +35,7 @@ def test_counts_stay_within_the_bound(rows, by_day):
 
 
 def test_exact_while_values_are_few(spark, rows):
-    few = rows.withColumn("v", F.when(F.length("v") < 4, F.col("v"))).withColumn("w", F.col("v") == "v1")
+    few = rows.withColumn("v", F.when(F.length("v") < 4, F.col("v"))).withColumn("w", (F.col("v") == "v1").cast("string"))
     columns, where = {"usual": "v", "other": "w", "none": "v"}, {"usual": "v IS NOT NULL", "none": "k = 'k1'"}
     exact = most_common(few, "k", columns, {c: F.expr(w) for c, w in where.items()})
     found = frequent.usual_values(few, "k", columns, where, step="day", max_items=128)

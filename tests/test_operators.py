@@ -18,7 +18,7 @@ from shoploom.operators.relational import distinct_counts, left_join_sparse, mos
 from shoploom.operators.windows import newest_per, prior, same_week_last_year, trailing
 from shoploom.plans import customers as c
 from shoploom.sources import schemas
-from shoploom.sources.tables import as_view, read_shards, write_table
+from shoploom.sources.tables import as_view, current_version, read_shards, write_table
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -96,7 +96,7 @@ def test_tables(spark, tmp_path):
     assert {r.n for r in back.filter("d = DATE '2024-02-15'").collect()} == {2}
     monthly = write_table(df, str(tmp_path / "m"), "d", "month", ["k"])
     assert {str(r.d_month) for r in monthly.select("d_month").distinct().collect()} == {"2024-01-01", "2024-02-01", "None"}
-    assert os.path.isdir(tmp_path / "m" / "d_month=2024-01-01")
+    assert os.path.isdir(f"{current_version(spark, str(tmp_path / 'm'))}/d_month=2024-01-01")
     assert as_view(df, "some_view").filter("n = 0").count() == 1 and write_table(df, str(tmp_path / "p")).count() == 5
 
 
