@@ -11,14 +11,14 @@ from __future__ import annotations
 import html
 import re
 import sys
-import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -291,7 +291,9 @@ def _shaped(root: Node) -> Node:
 
 
 def text_key(text: str) -> int:
-    return zlib.crc32(text.encode())
+    """64 bits, as a signed number: among a host's millions of texts no two should be taken for one."""
+    key = xxhash.xxh64_intdigest(text.encode())
+    return key - (1 << 64) if key >> 63 else key
 
 
 def _same_ends(a: Node, b: Node) -> tuple[list[tuple[Node, Node]], list[Node], list[Node]]:
@@ -444,7 +446,7 @@ def slots(trees: list[Node]) -> list[list[tuple[int, int, Node]]]:
 
 def skeleton(root: Node) -> bytes:
     """A tree without its texts: tag, whether it stands beside the main text, text hash and length, number of children in page order."""
-    return "\n".join(f"{n.tag} {int(n.beside)} {text_key(n.text)} {len(n.text)} {len(n.children)}" for n in root.walk()).encode()
+    return "\n".join(f"{n.tag} {int(n.beside)} {text_key(n.text) if n.text else 0} {len(n.text)} {len(n.children)}" for n in root.walk()).encode()
 
 
 def from_skeleton(data: bytes) -> Node:
@@ -464,38 +466,79 @@ def from_skeleton(data: bytes) -> Node:
     return _shaped(nodes[0])
 
 
-def main_text(root: Node, template: frozenset[tuple[int, int]] = frozenset()) -> str:
-    """The texts in page order that stand neither beside the main text nor in the template (place, text hash).
+@dataclass
+class Block:
+    """A text that stands not beside the main text, in page order; `main`: in an article or main region, `article`: in an article."""
 
-    If some article or main region has such text, only those regions count.
-    """
-    places = paths(root) if template else {}
-    inside, all_texts = [], []
-    stack = [(root, False)]
+    place: int
+    key: int
+    main: bool
+    article: bool
+    text: str
+
+
+def blocks(root: Node) -> list[Block]:
+    places = paths(root)
+    out, stack = [], [(root, False, False)]
     while stack:
-        node, main = stack.pop()
+        node, main, article = stack.pop()
         if node.beside:
             continue
-        main = main or node.main
-        if node.text and (places.get(id(node), 0), text_key(node.text)) not in template:
-            all_texts.append(node.text)
-            if main:
-                inside.append(node.text)
-        stack.extend((c, main) for c in reversed(node.children))
-    return " ".join(inside or all_texts)
+        main, article = main or node.main, article or node.tag == "article"
+        if node.text:
+            out.append(Block(places[id(node)], text_key(node.text), main, article, node.text))
+        stack.extend((c, main, article) for c in reversed(node.children))
+    return out
 
 
-def _chunks(pages: DataFrame) -> DataFrame:
-    """host, chunk, tree: one tree for all pages of a host that have the same main text."""
+def main_text(root: Node, template: frozenset[tuple[int, int]] = frozenset()) -> str:
+    """The texts in page order that stand neither beside the main text nor in the template (place, text hash).
+
+    If some article or main region has such text, only those regions count. Inside an article all texts stay: that several have the
+    same subheads makes these no template.
+    """
+    kept = [b for b in blocks(root) if b.article or (b.place, b.key) not in template]
+    return " ".join([b.text for b in kept if b.main] or [b.text for b in kept])
+
+
+def _joined(found: Column, nodes: Column) -> Column:
+    """`main_text` from the blocks of a page, without reading it again."""
+    template = F.coalesce(nodes, F.array().cast("array<struct<place:bigint,text:bigint>>"))
+    kept = F.filter(found, lambda b: b["article"] | ~F.array_contains(template, F.struct(b["place"].alias("place"), b["key"].alias("text"))))
+    inside = F.filter(kept, lambda b: b["main"])
+    texts = lambda list_: F.array_join(F.transform(list_, lambda b: b["text"]), " ")
+    return F.when(F.size(inside) > 0, texts(inside)).otherwise(texts(kept))
+
+
+_BLOCK = "array<struct<place:long,key:long,main:boolean,article:boolean,text:string>>"
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
+    """row, host, blocks, main (hash of the main text without a template) and tree of each page (row, host, html), written once."""
+    schema = T.StructType([rows.schema["row"], rows.schema["host"], *T.StructType.fromDDL(f"blocks {_BLOCK}, main long, tree binary").fields])
+    kinds = {"place": pa.int64(), "key": pa.int64(), "main": pa.bool_(), "article": pa.bool_(), "text": pa.string()}
 
     def run(batches):
         for batch in batches:
-            roots = [parse(x.as_py()) for x in batch.column(1)]
-            texts = [text_key(main_text(r)) for r in roots]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.int64()), pa.array(map(skeleton, roots), pa.binary())], names=["host", "main", "tree"])
-
-    trees = pages.mapInArrow(run, "host string, main long, tree binary").groupBy("host", "main").agg(F.min("tree").alias("tree"))
-    trees = written(trees, "trees")
+            held, ends, mains, trees = [], [0], [], []
+            for source in batch.column(2):
+                root = parse(source.as_py())
+                own = blocks(root)
+                held.extend(own)
+                ends.append(len(held))
+                mains.append(text_key(" ".join([b.text for b in own if b.main] or [b.text for b in own])))
+                trees.append(skeleton(root))
+            fields = [pa.array([getattr(b, name) for b in held], kind) for name, kind in kinds.items()]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=list(kinds)))
+            columns = [*batch.columns[:2], lists, pa.array(mains, pa.int64()), pa.array(trees, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return written(rows.mapInArrow(run, schema), "parsed")
+
+
+def _chunks(parsed: DataFrame) -> DataFrame:
+    """host, chunk, tree: one tree for all pages of a host that have the same main text."""
+    trees = written(parsed.groupBy("host", "main").agg(F.min("tree").alias("tree")), "trees")
     sizes = trees.groupBy("host").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     return trees.join(sizes, "host").select("host", F.pmod(F.xxhash64("main"), F.col("chunks")).alias("chunk"), "tree")
 
@@ -529,8 +572,8 @@ def _contents(trees: list[Node], texts: list[list[tuple[int, int, Node]]]) -> li
     return out
 
 
-def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
-    """host, nodes (array of place and text hash): the constant nodes of each host, from `pages` (host, html).
+def templates(parsed: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """host, nodes (array of place and text hash): the constant nodes of each host, from `parsed` (host, main, tree).
 
     Pages with the same main text count once, or a host's only article would pass for its template. Slots are aligned
     within a chunk; which texts repeat is counted over the whole host.
@@ -555,7 +598,11 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
         })
 
     schema = "host string, chunk long, slot long, place long, text long, n long, contents array<long>"
-    votes = written(_chunks(pages).groupBy("host", "chunk").applyInArrow(one, schema), "votes")
+    spark = parsed.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    # Dealt by chunk, not by host: the chunks of a large host go to many tasks.
+    dealt = _chunks(parsed).repartition(tasks, "host", "chunk")
+    votes = written(dealt.groupBy("host", "chunk").applyInArrow(one, schema), "votes")
     spot, slot = ["host", "place", "text"], ["host", "chunk", "slot"]
     contents = votes.select(*spot, F.explode("contents").alias("content")).distinct()
     repeated = written(contents.groupBy(*spot).agg(F.count("*").alias("contents")).where(F.col("contents") >= least), "repeated")
@@ -574,19 +621,10 @@ def extracted(pages: DataFrame, url: str = "url", markup: str = "html") -> DataF
     bounded_batches(pages.sparkSession)
     page = F.coalesce(F.col(f"`{markup}`"), F.lit(""))
     host = host_of(F.col(f"`{url}`"))
-    found = written(templates(pages.select(host.alias("host"), page.alias("html"))), "templates")
     rest = without(pages, [markup])
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), host.alias("host"), page.alias("html"))
-    rows = rows.join(found, "host", "left").select("row", "html", "nodes", "host")
-    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-
-    def run(batches):
-        for batch in batches:
-            texts, known = [], {}  # a host's template is read once for a batch
-            for source, nodes, name in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
-                if name not in known:
-                    known[name] = frozenset((n["place"], n["text"]) for n in nodes.as_py() or ())
-                texts.append(main_text(parse(source.as_py()), known[name]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
-
-    return unnested(rows.mapInArrow(run, schema), "text", "n_chars")
+    parsed = _parsed(rows)
+    found = written(templates(parsed.select("host", "main", "tree")), "templates")
+    text = _joined(F.col("blocks"), F.col("nodes"))
+    joined = parsed.drop("main", "tree").join(found, "host", "left").select("row", text.alias("text"))
+    return unnested(joined.withColumn("n_chars", F.length("text").cast("long")), "text", "n_chars")

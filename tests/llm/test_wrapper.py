@@ -174,3 +174,40 @@ def test_repeated_content_is_no_template(spark):
     assert all(text.endswith(f"the long first paragraph of story {k % 8} and its end {k % 8}") for k, text in extracted_texts(spark, copies).items())
     odd = [f"<div>Our menu</div><p>line {k}</p><p>{'Thank you' if k % 8 == 0 else f'word {k}'}</p>" for k in range(64)]
     assert all(text == f"line {k} " + ("Thank you" if k % 8 == 0 else f"word {k}") for k, text in extracted_texts(spark, odd).items())
+
+
+def test_articles_keep_their_subheads(spark):
+    page = "<div>Our menu</div><article><h3>Ingredients</h3><p>{k} apples</p><h3>Method</h3><p>stir {k} times</p></article><div>All rights reserved</div>"
+    found = extracted_texts(spark, [page.format(k=k) for k in range(12)])
+    assert all(found[k] == f"Ingredients {k} apples Method stir {k} times" for k in range(12))
+
+
+def bare(page):
+    """A page without any cue of tag, class or role: what is left is for the wrapper to tell."""
+    page = re.sub(r"(?is)<(script|style|noscript|template)\b.*?</\1>|<head\b.*?</head>", "", page)
+    page = re.sub(r"(?i)<(/?)(?:article|main|nav|header|footer|aside|section|form|figure|button|label)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r"(?i)<(div|p|ul|li|span|h\d|a)\b[^>]*>", r"<\1>", page)
+
+
+def test_the_wrapper_alone(spark):
+    """With no cues, no page loses any of its article; where hosts have menus that repeat, those are what goes.
+
+    The table's own menus and notices differ from page to page, so that no wrapper can tell them from content.
+    """
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url", "html").toPandas()
+    host = pages.url.str.extract(r"://([^/?#]*)", expand=False).fillna("")
+    article = pages.html.str.extract(r"(?s)<article>(.*?)</article>", expand=False)
+    cued = [main_text(parse(x)) for x in pages.html]
+
+    def alone(htmls):
+        found = wrapper.extracted(spark.createDataFrame(pages.assign(html=htmls)))
+        texts = {r.page_id: r.text for r in found.collect()}
+        return [texts[k] for k in pages.page_id]
+
+    assert all(c in t for t, c in zip(alone([bare(x) for x in pages.html]), cued, strict=True))
+    menu = "<div><ul><li>Home of {0}</li><li>News of {0}</li></ul></div><div><p>Read {0} daily</p></div><div>{1}</div><div>All rights with {0}</div>"
+    texts = alone([menu.format(h, bare(a)) for h, a in zip(host, article, strict=True)])
+    large = host.map(host.value_counts()) >= 2 * wrapper.LEAST_PAGES
+    right = [t == c for t, c, some in zip(texts, cued, large, strict=True) if some]
+    assert len(right) > 50 and sum(right) / len(right) >= 0.95
+    assert all(c in t for t, c in zip(texts, cued, strict=True))
