@@ -23,13 +23,13 @@ MOST_BUCKETS = 50_000  # Spark refuses tables of more than 100,000
 _POSITION_BITS = 33  # of monotonically_increasing_id: the partition's number stands above, the row's below
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """`df` written once as Parquet in the shared folder and read again: it survives lost executors and is not run twice.
 
     `session.release` removes it.
     """
     path = kept_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

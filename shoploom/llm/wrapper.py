@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -292,7 +293,7 @@ def _shaped(root: Node) -> Node:
 
 def text_key(text: str) -> int:
     """64 bits, as a signed number: among a host's millions of texts no two should be taken for one."""
-    key = xxhash.xxh64_intdigest(text.encode())
+    key = xxhash.xxh64_intdigest(text.encode(), 42)  # as Spark's xxhash64
     return key - (1 << 64) if key >> 63 else key
 
 
@@ -445,16 +446,26 @@ def slots(trees: list[Node]) -> list[list[tuple[int, int, Node]]]:
 
 
 def skeleton(root: Node) -> bytes:
-    """A tree without its texts: tag, whether it stands beside the main text, text hash and length, number of children in page order."""
-    return "\n".join(f"{n.tag} {int(n.beside)} {text_key(n.text) if n.text else 0} {len(n.text)} {len(n.children)}" for n in root.walk()).encode()
+    """A tree without its texts, in page order: a line per element with tag, whether it stands beside the main text and its number of
+    children, a line per text with a space for its tag and its length; then, after a zero byte, the texts' hashes."""
+    lines, keys = [], []
+    for n in root.walk():
+        if n.tag == "#text":
+            lines.append(f" {int(n.beside)} {n.length or len(n.text)}")
+            keys.append(text_key(n.text))
+        else:
+            lines.append(f"{n.tag} {int(n.beside)} {len(n.children)}".replace("\0", "?"))
+    return "\n".join(lines).encode() + b"\0" + np.array(keys, dtype="<i8").tobytes()
 
 
 def from_skeleton(data: bytes) -> Node:
+    lines, _, keys = data.partition(b"\0")
+    hashes = iter(np.frombuffer(keys, dtype="<i8").tolist())
     nodes, counts = [], []
-    for line in data.decode().split("\n"):
-        tag, beside, text, length, n = line.split(" ")
-        nodes.append(Node(tag, beside == "1", text=text, length=int(length)))
-        counts.append(int(n))
+    for line in lines.decode().split("\n"):
+        tag, beside, n = line.split(" ")
+        nodes.append(Node(tag, beside == "1") if tag else Node("#text", beside == "1", text=str(next(hashes)), length=int(n)))
+        counts.append(int(n) if tag else 0)
     stack: list[list] = []
     for node, n in zip(nodes, counts, strict=True):
         while stack and not stack[-1][1]:
@@ -466,28 +477,18 @@ def from_skeleton(data: bytes) -> Node:
     return _shaped(nodes[0])
 
 
-@dataclass
-class Block:
-    """A text that stands not beside the main text, in page order; `main`: in an article or main region, `article`: in an article."""
-
-    place: int
-    key: int
-    main: bool
-    article: bool
-    text: str
-
-
-def blocks(root: Node) -> list[Block]:
-    places = paths(root)
-    out, stack = [], [(root, False, False)]
+def blocks(root: Node) -> list[tuple[int, bool, bool, str]]:
+    """The texts that stand not beside the main text, in page order: place, whether in an article or main region, whether in an
+    article, text."""
+    out, stack = [], [(root, 0, False, False)]
     while stack:
-        node, main, article = stack.pop()
+        node, place, main, article = stack.pop()
         if node.beside:
             continue
         main, article = main or node.main, article or node.tag == "article"
         if node.text:
-            out.append(Block(places[id(node)], text_key(node.text), main, article, node.text))
-        stack.extend((c, main, article) for c in reversed(node.children))
+            out.append((place, main, article, node.text))
+        stack.extend((c, _place(place, c.tag), main, article) for c in reversed(node.children))
     return out
 
 
@@ -497,26 +498,26 @@ def main_text(root: Node, template: frozenset[tuple[int, int]] = frozenset()) ->
     If some article or main region has such text, only those regions count. Inside an article all texts stay: that several have the
     same subheads makes these no template.
     """
-    kept = [b for b in blocks(root) if b.article or (b.place, b.key) not in template]
-    return " ".join([b.text for b in kept if b.main] or [b.text for b in kept])
+    kept = [b for b in blocks(root) if not template or b[2] or (b[0], text_key(b[3])) not in template]
+    return " ".join([b[3] for b in kept if b[1]] or [b[3] for b in kept])
 
 
 def _joined(found: Column, nodes: Column) -> Column:
     """`main_text` from the blocks of a page, without reading it again."""
     template = F.coalesce(nodes, F.array().cast("array<struct<place:bigint,text:bigint>>"))
-    kept = F.filter(found, lambda b: b["article"] | ~F.array_contains(template, F.struct(b["place"].alias("place"), b["key"].alias("text"))))
+    kept = F.filter(found, lambda b: b["article"] | ~F.array_contains(template, F.struct(b["place"].alias("place"), F.xxhash64(b["text"]).alias("text"))))
     inside = F.filter(kept, lambda b: b["main"])
     texts = lambda list_: F.array_join(F.transform(list_, lambda b: b["text"]), " ")
     return F.when(F.size(inside) > 0, texts(inside)).otherwise(texts(kept))
 
 
-_BLOCK = "array<struct<place:long,key:long,main:boolean,article:boolean,text:string>>"
+_BLOCK = "array<struct<place:long,main:boolean,article:boolean,text:string>>"
 
 
 def _parsed(rows: DataFrame) -> DataFrame:
     """row, host, blocks, main (hash of the main text without a template) and tree of each page (row, host, html), written once."""
     schema = T.StructType([rows.schema["row"], rows.schema["host"], *T.StructType.fromDDL(f"blocks {_BLOCK}, main long, tree binary").fields])
-    kinds = {"place": pa.int64(), "key": pa.int64(), "main": pa.bool_(), "article": pa.bool_(), "text": pa.string()}
+    kinds = {"place": pa.int64(), "main": pa.bool_(), "article": pa.bool_(), "text": pa.string()}
 
     def run(batches):
         for batch in batches:
@@ -526,20 +527,20 @@ def _parsed(rows: DataFrame) -> DataFrame:
                 own = blocks(root)
                 held.extend(own)
                 ends.append(len(held))
-                mains.append(text_key(" ".join([b.text for b in own if b.main] or [b.text for b in own])))
+                mains.append(text_key(" ".join([b[3] for b in own if b[1]] or [b[3] for b in own])))
                 trees.append(skeleton(root))
-            fields = [pa.array([getattr(b, name) for b in held], kind) for name, kind in kinds.items()]
+            fields = [pa.array(column, kind) for column, kind in zip(zip(*held, strict=True) if held else [()] * 4, kinds.values(), strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=list(kinds)))
             columns = [*batch.columns[:2], lists, pa.array(mains, pa.int64()), pa.array(trees, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return written(rows.mapInArrow(run, schema), "parsed")
+    return written(rows.mapInArrow(run, schema), "parsed", "zstd")
 
 
 def _chunks(parsed: DataFrame) -> DataFrame:
     """host, chunk, tree: one tree for all pages of a host that have the same main text."""
-    trees = written(parsed.groupBy("host", "main").agg(F.min("tree").alias("tree")), "trees")
-    sizes = trees.groupBy("host").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    trees = written(parsed.groupBy("host", "main").agg(F.min("tree").alias("tree")), "trees", "zstd")
+    sizes = written(trees.groupBy("host").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "sizes")
     return trees.join(sizes, "host").select("host", F.pmod(F.xxhash64("main"), F.col("chunks")).alias("chunk"), "tree")
 
 
