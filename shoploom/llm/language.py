@@ -107,7 +107,7 @@ def _evidence(pages: DataFrame, logs: np.ndarray, url: str, markup: str) -> Data
     def run(batches):
         for batch in batches:
             sources = [x.as_py() for x in batch.column(3)]
-            found = np.array([posterior(logs, main_text(parse(s))) for s in sources]).reshape(-1, languages)
+            found = np.array([posterior(logs, main_text(parse(s, shaped=False))) for s in sources]).reshape(-1, languages)
             columns = [pa.array([declared_language(s) for s in sources], pa.string()), *[pa.array(c.copy(), pa.float64()) for c in found.T]]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=schema.names)
 

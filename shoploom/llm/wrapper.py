@@ -195,11 +195,11 @@ def _depths(root: Node, passed=lambda node: False):
     return out
 
 
-def parse(page: str) -> Node:
+def parse(page: str, shaped: bool = True) -> Node:
     """The tree of a page's blocks; each run of text between block boundaries is a leaf `#text`.
 
     Inline elements don't part text. Unclosed and misplaced tags are closed where a browser would; a page that ends early
-    is closed at its end.
+    is closed at its end. `shaped`: whether shapes are wanted, which only alignment needs.
     """
     root = Node("#root")
     open_nodes, marks, run = [root], [], []
@@ -277,7 +277,7 @@ def parse(page: str) -> Node:
         open_nodes.append(node)
         opened[tag] += 1
     close(1)
-    return _shaped(_settled(root))
+    return _shaped(_settled(root)) if shaped else _settled(root)
 
 
 def _shaped(root: Node) -> Node:
@@ -458,7 +458,7 @@ def skeleton(root: Node) -> bytes:
     return "\n".join(lines).encode() + b"\0" + np.array(keys, dtype="<i8").tobytes()
 
 
-def from_skeleton(data: bytes) -> Node:
+def from_skeleton(data: bytes, shaped: bool = True) -> Node:
     lines, _, keys = data.partition(b"\0")
     hashes = iter(np.frombuffer(keys, dtype="<i8").tolist())
     nodes, counts = [], []
@@ -474,7 +474,7 @@ def from_skeleton(data: bytes) -> Node:
             stack[-1][0].children.append(node)
             stack[-1][1] -= 1
         stack.append([node, n])
-    return _shaped(nodes[0])
+    return _shaped(nodes[0]) if shaped else nodes[0]
 
 
 def blocks(root: Node) -> list[tuple[int, bool, bool, str]]:
@@ -523,7 +523,7 @@ def _parsed(rows: DataFrame) -> DataFrame:
         for batch in batches:
             held, ends, mains, trees = [], [0], [], []
             for source in batch.column(2):
-                root = parse(source.as_py())
+                root = parse(source.as_py(), shaped=False)
                 own = blocks(root)
                 held.extend(own)
                 ends.append(len(held))
@@ -581,7 +581,7 @@ def templates(parsed: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
     """
 
     def one(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        trees = [from_skeleton(x) for x in sorted(group.column("tree").to_pylist())]
+        trees = [from_skeleton(x, shaped=False) for x in sorted(group.column("tree").to_pylist())]
         texts = slots(trees)
         numbers: dict[int, int] = {}
         rows: dict[tuple[int, int, int], list[int]] = {}
