@@ -9,22 +9,31 @@ and the largest of all these opens the next path. Noise is a hash of the row's k
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoploom.llm.common import bounded_batches, texts_of
+from shoploom.llm.common import bounded_batches, texts_of, without
 
 SAMPLES, SEED = 3, 42
 SPACE_MARK = "▁"
 _PART_CHARS = 1_500_000  # of texts sampled at a time
+_MEMORY_WORDS = 200_000  # distinct words a task keeps before it encodes them
+_WRITTEN_MARK = np.uint64(0x110000)  # beyond all characters
+_UNIT = re.compile(" +[^ ]*")
+_KINDS = pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -34,19 +43,35 @@ def processor(path: str) -> sentencepiece.SentencePieceProcessor:
 
 
 def piece_counts(texts: DataFrame, path: str, text: str = "text") -> np.ndarray:
-    """How often the plain encoding of all texts uses each piece: one row per piece and task, summed up."""
+    """How often the plain encoding of all texts uses each piece: one row per piece and task, summed up.
+
+    Pieces don't reach from a word into the space behind it, so a task encodes each distinct word once. Texts with runs
+    of spaces, spaces at an end or written space marks (which the encoder takes for spaces) are encoded as they are.
+    """
 
     def run(batches):
-        encoder, counts = processor(path), None
+        encoder, words = processor(path), Counter()
+        counts = np.zeros(encoder.vocab_size(), dtype=np.int64)
+
+        def add(pieces, times):
+            flat = np.fromiter(chain.from_iterable(pieces), dtype=np.int64)
+            weights = np.repeat(np.asarray(times, dtype=np.int64), [len(p) for p in pieces])
+            np.add.at(counts, flat, weights)
+
         for batch in batches:
-            counts = np.zeros(encoder.vocab_size(), dtype=np.int64) if counts is None else counts
-            values = texts_of(batch, "text")
-            for a in range(0, len(values), 256):
-                for ids in encoder.encode([v.decode() for v in values[a : a + 256]], num_threads=1):
-                    counts += np.bincount(ids, minlength=len(counts)) if ids else 0
-        if counts is not None:
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["id", "n"])
+            for value in texts_of(batch, "text"):
+                text = value.decode()
+                if "  " in text or SPACE_MARK in text or text[:1] == " " or text[-1:] == " ":
+                    add([encoder.encode(text)], [1])
+                else:
+                    words.update(text.split(" "))
+                if len(words) > _MEMORY_WORDS:
+                    add(encoder.encode(list(words), num_threads=1), list(words.values()))
+                    words.clear()
+        if words:
+            add(encoder.encode(list(words), num_threads=1), list(words.values()))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["id", "n"])
 
     bounded_batches(texts.sparkSession)
     sent = texts.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, n long")
@@ -56,226 +81,330 @@ def piece_counts(texts: DataFrame, path: str, text: str = "text") -> np.ndarray:
     return out
 
 
+def _key(name: str) -> int:
+    key = 0
+    for c in name:
+        key = (key * int(_BASE) + ord(c) + 1) % (1 << 64)
+    return key
+
+
+def _slot(keys: np.ndarray, size: int) -> np.ndarray:
+    return ((keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+@lru_cache(maxsize=2)
+def _vocabulary(path: str):
+    """Names, the ids of bytes, and a hash table of all pieces and their beginnings by the key of their characters."""
+    model = processor(path)
+    names = [model.id_to_piece(k) for k in range(model.vocab_size())]
+    of_bytes, known = {}, {}
+    for k, name in enumerate(names):
+        if model.is_byte(k):
+            of_bytes[int(name[1:-1], 16)] = k
+        # Marks stand at the start of a piece or are all of it: a unit is a run of spaces with the word behind it.
+        elif not (model.is_control(k) or model.is_unknown(k) or SPACE_MARK in name.lstrip(SPACE_MARK)):
+            known[name] = k
+    beginnings = sorted({name[:n]: known.get(name[:n], -1) for name in known for n in range(1, len(name) + 1)}.items())
+    size = 1 << max(16, (16 * len(beginnings)).bit_length())
+    own = np.array([_key(name) for name, _ in beginnings], dtype=np.uint64)
+    keys, found = np.zeros(size, dtype=np.uint64), np.full(size, -2, dtype=np.int32)
+    for key, slot, (_, k) in zip(own.tolist(), _slot(own, size).tolist(), beginnings, strict=True):
+        while found[slot] != -2:
+            slot = (slot + 1) % size
+        keys[slot], found[slot] = key, k
+    return names, of_bytes, keys, found
+
+
 class Pieces:
-    """The vocabulary by length, with the log-probability of each piece. Characters without a piece are written in bytes."""
+    """The vocabulary, with the log-probability of each piece. Characters without a piece are written in bytes."""
 
     def __init__(self, path: str, counts: np.ndarray):
-        found = processor(path)
-        self.names = [found.id_to_piece(k) for k in range(found.vocab_size())]
+        self.names, self.bytes, self.keys, self.found = _vocabulary(path)
         self.logs = np.log((counts + 1) / (counts.sum() + len(counts)))
-        self.bytes = {}
-        by_length: dict[int, dict[str, int]] = {}
-        for k, name in enumerate(self.names):
-            if found.is_byte(k):
-                self.bytes[int(name[1:-1], 16)] = k
-            # A mark stands at the start of a piece or nowhere, as pieces don't reach over spaces.
-            elif not (found.is_control(k) or found.is_unknown(k) or SPACE_MARK in name[1:]):
-                by_length.setdefault(len(name), {})[name] = k
-        self.longest = max(by_length)
-        self.tables = {}
-        for n, names in by_length.items():
-            codes = np.array([[ord(c) for c in x] for x in names], dtype=np.uint64)
-            keys = np.zeros(len(names), dtype=np.uint64)
-            for column in codes.T:
-                keys = keys * _BASE + column + np.uint64(1)
-            order = np.argsort(keys)
-            self.tables[n] = keys[order], np.array(list(names.values()))[order]
 
     def spelled(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()]
 
+    def look(self, keys: np.ndarray) -> np.ndarray:
+        """For each key the id of its piece, -1 if pieces only begin so, -2 if none does."""
+        slots = _slot(keys, len(self.found))
+        found = self.found[slots]
+        other = np.flatnonzero((found != -2) & (self.keys[slots] != keys))
+        while len(other):  # taken by another key: it may stand further on
+            slots[other] = (slots[other] + 1) % len(self.found)
+            found[other] = self.found[slots[other]]
+            other = other[(found[other] != -2) & (self.keys[slots[other]] != keys[other])]
+        return found
+
+
+def units(text: str) -> list[str]:
+    """A text as its words, each with the spaces before it; one space is put before the text."""
+    if not text:
+        return []
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return _UNIT.findall(" " + text)
+    return [" " + word for word in text.split(" ")]
+
 
 @dataclass
 class Lattice:
-    """Nodes are the characters of the distinct words; an edge of length n leads to the node n further on.
+    """Nodes are the characters of the distinct units; `first[node]` is its first edge, `first[node + 1]` ends them.
 
-    `share[node, n - 1]` is the probability of that edge among all that leave the node, from the mass behind it.
+    Of each edge: the node it leaves and leads to (`size` at a unit's end), its log-probability among all that leave the
+    node (from the mass behind it), the same of all others together, the sum of probabilities up to it (infinite for a
+    node's last), and its id, or -1 - k if it is spelled by row k of `spelled`, which is filled up with -1.
     """
 
     starts: np.ndarray
-    ends: np.ndarray
-    share: np.ndarray
+    first: np.ndarray
+    node: np.ndarray
+    target: np.ndarray
+    log: np.ndarray
+    others: np.ndarray
+    upto: np.ndarray
     ids: np.ndarray
-    chars: str
+    spelled: np.ndarray
 
 
 def lattice(words: list[str], pieces: Pieces) -> Lattice:
-    """The lattices of distinct words (each with its mark)."""
+    """The lattices of distinct units. Nodes are numbered by their distance from the unit's end, the nearest first."""
     chars = "".join(words)
     codes = np.frombuffer(chars.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    mark = np.uint64(ord(SPACE_MARK))
+    codes = np.where(codes == 32, mark, np.where(codes == mark, _WRITTEN_MARK, codes))  # a mark in the text is no space
     lengths = np.array([len(w) for w in words], dtype=np.int64)
     ends = np.cumsum(lengths)
-    starts = ends - lengths
-    size, longest = len(codes), pieces.longest
-    left = np.repeat(ends, lengths) - np.arange(size)  # characters up to the word's end
-    scores = np.full((size, longest), -np.inf)
-    ids = np.full((size, longest), -1, dtype=np.int32)
-    keys = np.zeros(size, dtype=np.uint64)
-    for n in range(1, longest + 1):
-        keys = keys[: size - n + 1] * _BASE + codes[n - 1 :] + np.uint64(1)
-        if n not in pieces.tables:
-            continue
-        table, table_ids = pieces.tables[n]
-        nodes = np.flatnonzero(left[: len(keys)] >= n)
-        at = np.minimum(np.searchsorted(table, keys[nodes]), len(table) - 1)
-        hit = table[at] == keys[nodes]
-        ids[nodes[hit], n - 1] = table_ids[at[hit]]
-        scores[nodes[hit], n - 1] = pieces.logs[table_ids[at[hit]]]
-    for node in np.flatnonzero(ids[:, 0] < 0).tolist():  # spelled in bytes; several have no id of their own
-        spelled = pieces.spelled(chars[node])
-        scores[node, 0] = pieces.logs[spelled].sum()
-        ids[node, 0] = spelled[0] if len(spelled) == 1 else -1
-
-    # The log mass of all ways from a node to its word's end, from the nodes next to the end on.
-    mass = np.zeros(size + longest + 1)
+    size = len(codes)
+    left = np.repeat(ends, lengths) - np.arange(size)  # characters up to the unit's end
     order = np.argsort(left, kind="stable")
-    cuts = np.searchsorted(left[order], np.arange(1, (left.max() if size else 0) + 2))
-    steps = np.arange(1, longest + 1)
+    number = np.empty(size, dtype=np.int64)
+    number[order] = np.arange(size)
+    left = left[order]
+
+    codes = codes + np.uint64(1)
+    # All nodes look for pieces of one character, then those go on where a longer piece may begin so.
+    by_length, nodes, keys, single, n = [], np.arange(size), np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=bool), 1
+    while len(nodes):
+        keys = keys * _BASE + codes[order[nodes] + (n - 1)]
+        ids = pieces.look(keys)
+        hit = ids >= 0
+        by_length.append((nodes[hit], np.full(int(hit.sum()), n), ids[hit], pieces.logs[ids[hit]]))
+        if n == 1:
+            single[nodes[hit]] = True
+        go = (ids > -2) & (left[nodes] > n)
+        nodes, keys, n = nodes[go], keys[go], n + 1
+    bare = np.flatnonzero(~single)  # spelled in bytes
+    kinds: dict[str, int] = {}
+    which = np.array([kinds.setdefault(chars[k], len(kinds)) for k in order[bare].tolist()], dtype=np.int64)
+    spelled = np.full((len(kinds), 4), -1, dtype=np.int32)
+    logs = np.zeros(len(kinds))
+    for char, k in kinds.items():
+        own = pieces.spelled(char)
+        spelled[k, : len(own)], logs[k] = own, pieces.logs[own].sum()
+    by_length.append((bare, np.ones(len(bare), dtype=np.int64), -1 - which, logs[which] if len(which) else np.zeros(0)))
+
+    # Longer pieces first, as they are likelier: most draws then stop at a node's first edge.
+    node, n, ids, log = (np.concatenate(x) for x in zip(*by_length[::-1], strict=True))
+    edges = np.argsort(node, kind="stable")
+    node, n, ids, log = node[edges], n[edges], ids[edges].astype(np.int32), log[edges]
+    first = np.searchsorted(node, np.arange(size + 1))
+    target = np.where(left[node] == n, size, number[np.minimum(order[node] + n, max(size - 1, 0))]) if size else node
+
+    # The log mass of all ways from a node to its unit's end, from the nodes next to the end on.
+    mass = np.zeros(size + 1)
+    cuts = np.searchsorted(left, np.arange(1, (left[-1] if size else 0) + 2))
     for a, b in zip(cuts, cuts[1:], strict=False):
-        nodes = order[a:b]
-        distance = left[nodes[0]]
-        n = min(distance, longest)
-        behind = np.where(steps[:n] == distance, 0.0, mass[nodes[:, None] + steps[:n]])
-        scores[nodes, :n] += behind
-        top = scores[nodes, :n].max(axis=1)
-        mass[nodes] = top + np.log(np.exp(scores[nodes, :n] - top[:, None]).sum(axis=1))
-    scores -= mass[:size, None]
-    return Lattice(starts, ends, np.exp(scores, out=scores), ids, chars)
-
-
-def _uniform(key: np.ndarray, *counters) -> np.ndarray:
-    """Numbers strictly between 0 and 1 from the hash of a key and counters."""
-    x = key
-    for counter in counters:
-        x = (x ^ np.asarray(counter, dtype=np.uint64)) + _BASE
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x = x ^ (x >> np.uint64(31))
+        ea, eb = first[a], first[b]
+        scores = log[ea:eb] + mass[target[ea:eb]]
+        begin = first[a:b] - ea
+        top = np.maximum.reduceat(scores, begin)
+        mass[a:b] = top + np.log(np.add.reduceat(np.exp(scores - top[node[ea:eb] - a]), begin))
+    log = log + mass[target] - mass[node]
+
+    # Sums over the other edges are taken without the likeliest, so that they stay exact where it takes nearly all.
+    share = np.exp(log)
+    most = share > 0.5
+    upto, others = share.copy(), np.log1p(-np.where(most, 0, share))
+    if size:
+        rest = np.where(most, -np.inf, log)
+        top = np.maximum.reduceat(rest, first[:-1])
+        top[np.isneginf(top)] = 0
+        with np.errstate(divide="ignore"):
+            found = top + np.log(np.add.reduceat(np.exp(rest - top[node]), first[:-1]))
+        others[most] = found[node[most]]
+        at, last = first[:-1] + 1, first[1:]
+        while True:
+            at, last = at[at < last], last[at < last]
+            if not len(at):
+                break
+            upto[at] += upto[at - 1]
+            at = at + 1
+        upto[first[1:] - 1] = np.inf
+    starts = number[ends - lengths] if size else np.zeros(0, dtype=np.int64)
+    return Lattice(starts, first, node, target, log, others, upto, ids, spelled)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers scattered over their range."""
+    x = x + _BASE
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _uniform(key: np.ndarray, counter) -> np.ndarray:
+    """Numbers strictly between 0 and 1 from the hash of a key and a counter."""
+    x = _mixed(key ^ _mixed(np.atleast_1d(np.asarray(counter, dtype=np.uint64))))
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
-def _pick(share: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Index of the edge whose part of the unit interval holds `u`; never an edge without a share."""
-    above = share.cumsum(axis=1)
-    picked = np.minimum((above <= u[:, None] * above[:, -1:]).sum(axis=1), above.shape[1] - 1)
-    none = share[np.arange(len(picked)), picked] <= 0
-    picked[none] = share[none].argmax(axis=1)
-    return picked
-
-
-def _walk(found: Lattice, nodes: np.ndarray, ends: np.ndarray, keys: np.ndarray, numbers: np.ndarray, sample: int):
-    """Ancestral paths from `nodes` to the ends of their words: (which word, node, edge), in the order of words and steps."""
-    which, at, step, parts = np.arange(len(nodes)), nodes.copy(), 0, []
-    go = which[at < ends]
-    while len(go):
-        here = at[go]
-        edge = _pick(found.share[here], _uniform(keys[go], sample, numbers[go], step))
-        parts.append((go, here, edge))
-        at[go] = here + edge + 1
-        go = go[at[go] < ends[go]]
-        step += 1
-    if not parts:
-        none = np.empty(0, dtype=np.int64)
-        return none, none, none
-    which, node, edge = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(which, kind="stable")  # steps are in order already
-    return which[order], node[order], edge[order]
+def _stream(key: np.ndarray, number) -> np.ndarray:
+    """The keys of another stream of numbers."""
+    return _mixed(key + np.atleast_1d(np.asarray(number, dtype=np.uint64)) * np.uint64(0xD1B54A32D192ED03))
+
+
+def _walk(found: Lattice, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ancestral paths from `nodes` to the ends of their units: edges in order of the paths, and each path's length."""
+    size = len(found.first) - 1
+    counts = np.zeros(len(nodes), dtype=np.int64)
+    live = np.flatnonzero(nodes < size)
+    at, parts = nodes[live], []
+    while len(live):
+        u = _uniform(keys[live], len(parts))
+        edge = found.first[at]
+        over = np.flatnonzero(u >= found.upto[edge])
+        while len(over):
+            edge[over] += 1
+            over = over[u[over] >= found.upto[edge[over]]]
+        parts.append((live, edge))
+        counts[live] += 1
+        at = found.target[edge]
+        live, at = live[at < size], at[at < size]
+    begin = np.cumsum(counts) - counts
+    edges = np.empty(int(counts.sum()), dtype=np.int64)
+    for step, (live, edge) in enumerate(parts):
+        edges[begin[live] + step] = edge
+    return edges, counts
 
 
 class _Path:
-    """One sampled segmentation: nodes and edges, the log-probability before each, and the value at which ways leave it."""
-
-    __slots__ = ("value", "node", "edge", "word", "before", "log", "leave", "start")
-
-    def __init__(self, found: Lattice, key: np.uint64, sample: int, value: float, node, edge, word, start: int):
-        self.value, self.node, self.edge, self.word, self.start = value, node, edge, word, start
-        share = found.share[node, edge]
-        total = np.log(share).cumsum()
-        self.before = np.concatenate([[0.0], total[:-1]]) if len(total) else total
-        self.log = float(total[-1]) if len(total) else 0.0
-        rest = np.maximum(0.0, 1 - share[start:])
-        self.leave = np.full(len(node), -np.inf)
-        self.leave[start:] = _below(value, self.before[start:], rest, _uniform(np.full(len(rest), key), 1000 + sample, np.arange(start, len(node))))
-
-
-def _below(value, before, rest, u):
-    """The largest perturbed value of ways with the mass exp(before) * rest, given that it is below `value`."""
-    with np.errstate(divide="ignore"):
-        found = -np.logaddexp(-value, np.log(-np.log(u)) - (before + np.log(rest)))
-    return np.where(rest > 1e-12, found, -np.inf)
-
-
-def sample(texts: list[str], keys: list[int], pieces: Pieces, samples: int = SAMPLES, seed: int = SEED) -> list[list[tuple[list[int], float, float, float]]]:
-    """For each text up to `samples` distinct segmentations: (ids, log-probability, perturbed value, log inclusion score).
-
-    They come by falling perturbed value. The inclusion score is the probability that the segmentation's value exceeds
-    the largest one left out; it is 1 if there are no others.
-    """
+    """One sampled segmentation: its edges and their units, log-probabilities up to each, and the value at which ways leave it."""
+
+    __slots__ = ("value", "edge", "word", "upto", "leave", "top")
+
+    def __init__(self, value, edge, word, upto, leave):
+        self.value, self.edge, self.word, self.upto, self.leave = value, edge, word, upto, leave
+        self.look()
+
+    def look(self):
+        """Where ways of the largest value leave."""
+        at = int(self.leave.argmax()) if len(self.leave) else -1
+        self.top = (float(self.leave[at]), at) if at >= 0 else (-math.inf, -1)
+
+    @property
+    def log(self) -> float:
+        return float(self.upto[-1]) if len(self.upto) else 0.0
+
+
+def _other(found: Lattice, node: int, out: list[int], u: float) -> tuple[int, float]:
+    """An edge of the node that is not among `out`, and the log of what then remains."""
+    a, b = int(found.first[node]), int(found.first[node + 1])
+    free = [(e, log) for e, log in zip(range(a, b), found.log[a:b].tolist(), strict=True) if e not in out]
+    top = max(log for _, log in free)
+    parts = [math.exp(log - top) for _, log in free]
+    u *= sum(parts)
+    at = 0
+    while at < len(parts) - 1 and u >= parts[at]:
+        u -= parts[at]
+        at += 1
+    left = [log for k, (_, log) in enumerate(free) if k != at]
+    if not left:
+        return free[at][0], -math.inf
+    top = max(left)
+    return free[at][0], top + math.log(sum(math.exp(log - top) for log in left))
+
+
+def _paths(texts: list[str], keys: list[int], pieces: Pieces, samples: int, seed: int):
+    """The lattice, the paths of each text by falling value, and the largest value left out of each."""
     types: dict[str, int] = {}
-    rows = [[types.setdefault(SPACE_MARK + w, len(types)) for w in text.replace(SPACE_MARK, " ").split(" ")] if text else [] for text in texts]
+    rows = [[types.setdefault(w, len(types)) for w in units(text)] for text in texts]
     found = lattice(list(types), pieces)
     seeds = np.array([xxhash.xxh64_intdigest(str(k).encode(), seed) for k in keys], dtype=np.uint64)
-    words = [np.array(r, dtype=np.int64) for r in rows]
+    words = [found.starts[np.array(r, dtype=np.int64)] for r in rows]
     values = -np.log(-np.log(_uniform(seeds, 7)))
     paths: list[list[_Path]] = [[] for _ in texts]
     gone: list[dict[tuple[int, int], list[int]]] = [{} for _ in texts]
     best_left = np.full(len(texts), -np.inf)
+    none = np.empty(0, dtype=np.int64)
 
     # The first path of every text is a plain sample; later ones leave an earlier path where the value is largest.
-    jobs = [(d, float(values[d]), None, 0) for d in range(len(texts))]
+    jobs = [(d, float(values[d]), -1, 0) for d in range(len(texts))]
     for k in range(samples + 1):
-        begun = []
-        for d, value, parent, at in jobs:
-            if parent is None:
-                begun.append((d, value, None, 0, words[d], 0, -1))
-                continue
-            origin = paths[d][parent]
-            node = int(origin.node[at])
-            out = gone[d].setdefault((parent, at), [int(origin.edge[at])])
-            share = found.share[node].copy()
-            share[out] = 0.0
-            edge = int(_pick(share[None], _uniform(seeds[d : d + 1], 500 + k))[0])
-            out.append(edge)
-            rest = max(0.0, 1 - float(found.share[node, out].sum()))
-            u = _uniform(seeds[d : d + 1], 800 + k)
-            origin.leave[at] = _below(value, origin.before[at : at + 1], np.array([rest]), u)[0]
-            if k < samples:
-                begun.append((d, value, parent, at, words[d][origin.word[at] :], node + edge + 1, edge))
         if k == samples:
             for d, value, *_ in jobs:
                 best_left[d] = value
             break
-        if not begun:
+        heads, runs = [], []
+        draws = _uniform(_stream(seeds, 500 + k), 0).tolist()
+        again = _uniform(_stream(seeds, 800 + k), 0).tolist()
+        for d, value, parent, at in jobs:
+            if parent < 0:
+                heads.append((none, none))
+                runs.append((0, words[d]))
+                continue
+            origin = paths[d][parent]
+            own, word = int(origin.edge[at]), int(origin.word[at])
+            out = gone[d].setdefault((parent, at), [own])
+            edge, rest = _other(found, int(found.node[own]), out, draws[d])
+            out.append(edge)
+            before = float(origin.upto[at - 1]) if at else 0.0
+            origin.leave[at] = -np.logaddexp(-value, math.log(-math.log(again[d])) - (before + rest))
+            origin.look()
+            heads.append((np.append(origin.edge[:at], edge), origin.word[: at + 1]))
+            runs.append((word, np.append(found.target[edge], words[d][word + 1 :])))
+        if not jobs:
             break
-        counts = [len(b[4]) for b in begun]
-        flat = np.concatenate([b[4] for b in begun])
-        nodes, ends = found.starts[flat].copy(), found.ends[flat]
-        offsets = np.concatenate([[0], np.cumsum(counts)])
-        for b, offset, count in zip(begun, offsets, counts, strict=False):
-            if b[2] is not None and count:
-                nodes[offset] = b[5]
-        firsts = np.array([paths[b[0]][b[2]].word[b[3]] if b[2] is not None else 0 for b in begun], dtype=np.int64)
-        numbers = np.arange(len(flat)) - np.repeat(offsets[:-1], counts) + np.repeat(firsts, counts)
-        which, node, edge = _walk(found, nodes, ends, np.repeat(seeds[[b[0] for b in begun]], counts), numbers, k)
-        cuts = np.searchsorted(which, offsets)
-        for (d, value, parent, at, _, _, first_edge), a, b in zip(begun, cuts, cuts[1:], strict=False):
-            parts = node[a:b], edge[a:b], numbers[which[a:b]]
-            start = 0
-            if parent is not None:
-                origin = paths[d][parent]
-                ahead = np.append(origin.node[:at], origin.node[at]), np.append(origin.edge[:at], first_edge), origin.word[: at + 1]
-                parts, start = tuple(np.concatenate(x) for x in zip(ahead, parts, strict=True)), at + 1
-            paths[d].append(_Path(found, seeds[d], k, value, *parts, start))
+
+        of = np.array([d for d, *_ in jobs])
+        counts = np.array([len(nodes) for _, nodes in runs])
+        numbers = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - [word for word, _ in runs], counts)
+        edges, lengths = _walk(found, np.concatenate([nodes for _, nodes in runs]), _stream(np.repeat(_stream(seeds[of], k), counts), numbers))
+        units_of = np.repeat(numbers, lengths)
+        cuts = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        pairs = list(zip(heads, cuts, cuts[1:], strict=False))
+        edge = np.concatenate([x for (head, _), a, b in pairs for x in (head, edges[a:b])])
+        word = np.concatenate([x for (_, head), a, b in pairs for x in (head, units_of[a:b])])
+        ends = np.cumsum([len(head[0]) + b - a for head, a, b in pairs])
+        begin = np.concatenate([[0], ends[:-1]])
+        upto = found.log[edge]
+        before = np.zeros(len(edge))
+        for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
+            np.cumsum(upto[a:b], out=upto[a:b])
+            before[a + 1 : b] = upto[a : max(a, b - 1)]
+        u = _uniform(np.repeat(_stream(seeds[of], 1000 + k), ends - begin), np.arange(len(edge)) - np.repeat(begin, ends - begin))
+        leave = -np.logaddexp(-np.repeat([value for _, value, *_ in jobs], ends - begin), np.log(-np.log(u)) - (before + found.others[edge]))
+        for (d, value, *_), (head, _, _), a, b in zip(jobs, pairs, begin.tolist(), ends.tolist(), strict=True):
+            leave[a : a + len(head[0])] = -np.inf
+            paths[d].append(_Path(value, edge[a:b], word[a:b], upto[a:b], leave[a:b]))
         jobs = []
-        for d, own in enumerate(paths):
-            if len(own) <= k:
-                continue
-            tops = [p.leave.max() if len(p.leave) else -np.inf for p in own]
-            parent = int(np.argmax(tops))
-            if tops[parent] > -np.inf:
-                jobs.append((d, float(tops[parent]), parent, int(own[parent].leave.argmax())))
+        for d in of.tolist():
+            parent = max(range(len(paths[d])), key=lambda p: paths[d][p].top[0])
+            value, at = paths[d][parent].top
+            if value > -math.inf:
+                jobs.append((d, value, parent, at))
+    return found, paths, best_left
 
-    return [[(_ids(found, p, pieces), p.log, p.value, _log_inclusion(p.log, best_left[d])) for p in own] for d, own in enumerate(paths)]
+
+def sample(texts: list[str], keys: list[int], pieces: Pieces, samples: int = SAMPLES, seed: int = SEED) -> list[list[tuple[list[int], float, float, float]]]:
+    """For each text up to `samples` distinct segmentations: (ids, log-probability, perturbed value, log inclusion score).
+
+    They come by falling perturbed value. The inclusion score is the probability that the segmentation's value exceeds
+    the largest one left out; it is 1 if there are no others.
+    """
+    found, paths, left = _paths(texts, keys, pieces, samples, seed)
+    ids, ends = _ids(found, [p.edge for own in paths for p in own])
+    spans = zip([0, *ends.tolist()], ends.tolist(), strict=False)
+    return [[(ids[slice(*next(spans))].tolist(), p.log, p.value, _log_inclusion(p.log, left[d])) for p in own] for d, own in enumerate(paths)]
 
 
 def _log_inclusion(log: float, threshold: float) -> float:
@@ -285,26 +414,76 @@ def _log_inclusion(log: float, threshold: float) -> float:
     return x if x < -30 else float(np.log(-np.expm1(-np.exp(x))))
 
 
-def _ids(found: Lattice, path: _Path, pieces: Pieces) -> list[int]:
-    ids = found.ids[path.node, path.edge]
-    out = ids.tolist()
-    for at in np.flatnonzero(ids < 0)[::-1].tolist():
-        out[at : at + 1] = pieces.spelled(found.chars[path.node[at]])
-    return out
+def _ids(found: Lattice, paths: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all paths' edges, one path after the other, and where each path ends."""
+    edges = np.concatenate([np.empty(0, dtype=np.int64), *paths])
+    ids, ends = found.ids[edges], np.cumsum([len(p) for p in paths], dtype=np.int64)
+    if not (ids < 0).any():
+        return ids, ends
+    counts = np.append((found.spelled >= 0).sum(axis=1), 1)  # the last stands for edges with an id
+    lengths = counts[np.where(ids < 0, -1 - ids, -1)]
+    flat, at = np.repeat(ids, lengths), np.cumsum(lengths) - lengths
+    bare = np.flatnonzero(flat < 0)
+    flat[bare] = found.spelled[-1 - flat[bare], bare - np.repeat(at, lengths)[bare]]
+    return flat, np.concatenate([[0], np.cumsum(lengths)])[ends]
 
 
 def decode(ids: list[int], pieces: Pieces) -> str:
-    """The text that the pieces spell; the mark before the first word is dropped."""
+    """The text that the pieces spell, without the space put before it. Ids of a segmentation give its text back exactly."""
     spelled = {v: k for k, v in pieces.bytes.items()}
-    raw = b"".join(bytes([spelled[i]]) if i in spelled else pieces.names[i].encode() for i in ids)
-    return raw.decode().replace(SPACE_MARK, " ")[1:]
+    raw = b"".join(bytes([spelled[i]]) if i in spelled else pieces.names[i].replace(SPACE_MARK, " ").encode() for i in ids)
+    return raw.decode()[1:]
+
+
+@lru_cache(maxsize=2)
+def _spellings(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all pieces in a row, and where each begins."""
+    found = processor(path)
+    plain = [bytes([int(x[1:-1], 16)]) if found.is_byte(k) else b"" if found.is_control(k) else x.replace(SPACE_MARK, " ").encode() for k, x in enumerate(map(found.id_to_piece, range(found.vocab_size())))]
+    return np.frombuffer(b"".join(plain), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in plain])])
+
+
+def decoded(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
+    """`df` with the text that its column of ids spells, in place of a column of that name.
+
+    The space that encoding puts before a text is left out. Null ids give null, an empty list the empty text. Ids outside
+    the vocabulary raise; bytes that are no UTF-8 (never of whole segmentations) become U+FFFD.
+    """
+    kept = without(df, [text])
+    schema = T.StructType([*kept.schema.fields, T.StructField(text, T.StringType())])
+    place = kept.columns.index(ids)
+
+    def run(batches):
+        blob, begin = _spellings(path)
+        for batch in batches:
+            lists = batch.column(place)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            if len(flat) and (flat.min() < 0 or flat.max() >= len(begin) - 1):
+                raise ValueError("an id outside the vocabulary")
+            sizes = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64)
+            cuts = np.concatenate([[0], np.cumsum(sizes)])
+            starts, lengths = begin[flat], begin[flat + 1] - begin[flat]
+            heads = cuts[:-1][sizes > 0]
+            heads = heads[(lengths[heads] > 0) & (blob[starts[heads]] == 32)]
+            starts[heads] += 1
+            lengths[heads] -= 1
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            raw = blob[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+            spans = ends[cuts].tolist()
+            missing = lists.is_null().to_pylist()
+            texts = [None if gone else raw[a:b].decode(errors="replace") for a, b, gone in zip(spans, spans[1:], missing, strict=False)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
+
+    bounded_batches(df.sparkSession)
+    return kept.mapInArrow(run, schema)
 
 
 def sampled(docs: DataFrame, path: str, counts: np.ndarray, text: str = "text", id: str = "doc_id", samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
     """doc_id, sample (from 1 by falling value), ids, log_prob, perturbed, log_inclusion.
 
     A null text counts as empty; an empty text has one segmentation, without pieces. A null id is a key like any other.
-    Repeated rows get the same samples. A text with fewer segmentations than `samples` gives them all.
+    Repeated rows get the same samples. A text with fewer segmentations than `samples` gives them all, however unlikely.
+    A space mark (U+2581) in a text is no space: it is spelled in bytes, so that every text comes back when decoded.
     """
     bounded_batches(docs.sparkSession)
     thin = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -320,11 +499,12 @@ def sampled(docs: DataFrame, path: str, counts: np.ndarray, text: str = "text",
                 while b < len(texts) and (b == a or chars + len(texts[b]) <= _PART_CHARS):
                     chars += len(texts[b])
                     b += 1
-                found = sample(texts[a:b], keys[a:b], pieces, samples, seed)
-                rows = [(key, k, *one) for key, own in zip(keys[a:b], found, strict=True) for k, one in enumerate(own, 1)]
-                columns = list(zip(*rows, strict=True))
-                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=schema.names)
+                found, paths, left = _paths(texts[a:b], keys[a:b], pieces, samples, seed)
+                ids, ends = _ids(found, [p.edge for own in paths for p in own])
+                rows = [(key, k, p.log, p.value, _log_inclusion(p.log, best)) for key, own, best in zip(keys[a:b], paths, left, strict=True) for k, p in enumerate(own, 1)]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
+                doc, number, *scores = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True))
+                yield pa.RecordBatch.from_arrays([doc, number, lists, *scores], names=schema.names)
                 a = b
 
     return thin.mapInArrow(run, schema)

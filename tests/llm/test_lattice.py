@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shoploom.llm.lattice import SPACE_MARK, Pieces, decode, lattice, piece_counts, processor, sample, sampled
+from shoploom.llm.lattice import SPACE_MARK, Pieces, decode, decoded, lattice, piece_counts, processor, sample, sampled
 from shoploom.llm.queries import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,28 +15,27 @@ PATH = public_tokenizers.path("piece_bpe_32k.model")
 PIECES = Pieces(PATH, np.arange(processor(PATH).vocab_size(), dtype=float)[::-1] ** 2)
 
 
-def all_segmentations(text):
+def all_segmentations(text, pieces=PIECES):
     """Every way to write the text in pieces, with its probability among all."""
-    known = {n: k for k, n in enumerate(PIECES.names) if not (processor(PATH).is_byte(k) or processor(PATH).is_control(k) or processor(PATH).is_unknown(k))}
+    known = {n: k for k, n in enumerate(pieces.names) if not (processor(PATH).is_byte(k) or processor(PATH).is_control(k) or processor(PATH).is_unknown(k))}
 
-    def ways(word):
-        if not word:
+    def ways(chars):  # None stands for a space
+        if not chars:
             return [((), 0.0)]
         out = []
-        for n in range(1, len(word) + 1):
-            ids = (known[word[:n]],) if word[:n] in known else tuple(PIECES.spelled(word[0])) if n == 1 else None
+        for n in range(1, len(chars) + 1):
+            name = "".join(c or SPACE_MARK for c in chars[:n]) if SPACE_MARK not in chars[:n] else None
+            ids = (known[name],) if name in known else tuple(pieces.spelled(chars[0])) if n == 1 else None
             if ids:
-                out += [(ids + rest, PIECES.logs[list(ids)].sum() + log) for rest, log in ways(word[n:])]
+                out += [(ids + rest, pieces.logs[list(ids)].sum() + log) for rest, log in ways(chars[n:])]
         return out
 
-    found = [((), 0.0)]
-    for word in text.split(" ") if text else []:
-        found = [(a + b, x + y) for a, x in found for b, y in ways(SPACE_MARK + word)]
+    found = ways([None if c == " " else c for c in " " + text]) if text else [((), 0.0)]
     total = math.log(sum(math.exp(x) for _, x in found))
     return {ids: x - total for ids, x in found}
 
 
-@pytest.mark.parametrize("text", ["the", "a b", "they are", "é☃", "", " ", "x  y"])
+@pytest.mark.parametrize("text", ["the", "a b", "they are", "é☃", "", " ", "x  y", "a   ", "\u2581 \u2581a"])
 def test_probabilities_against_all_segmentations(text):
     expected = all_segmentations(text)
     found = sample([text], [1], PIECES, samples=len(expected) + 3)[0]
@@ -75,7 +74,7 @@ def test_inclusion_scores_estimate_without_bias():
 def test_round_trip_and_distinct(texts):
     for text, own in zip(texts, sample(texts, list(range(len(texts))), PIECES), strict=True):
         assert len({tuple(f[0]) for f in own}) == len(own) >= 1
-        assert all(decode(f[0], PIECES) == text.replace(SPACE_MARK, " ") for f in own)
+        assert all(decode(f[0], PIECES) == text for f in own)
 
 
 def test_row_key_alone_decides():
@@ -84,9 +83,46 @@ def test_row_key_alone_decides():
     assert sample(["some words here"], [6], PIECES)[0] != alone
 
 
+def test_ways_of_hardly_any_probability_come_too():
+    """A piece of nearly all weight leaves the other ways of its word a share of 1e-14 and less."""
+    counts = np.zeros(processor(PATH).vocab_size())
+    counts[processor(PATH).piece_to_id(SPACE_MARK + "the")] = 1e15
+    pieces = Pieces(PATH, counts)
+    expected = all_segmentations("the", pieces)
+    assert sorted(expected.values())[-2] < math.log(1e-12)
+    found = sample(["the"], [3], pieces, samples=len(expected) + 2)[0]
+    assert {tuple(f[0]) for f in found} == set(expected)
+    for ids, log, _, _ in found:
+        assert log == pytest.approx(expected[tuple(ids)], abs=1e-6)
+
+
 def test_shares_sum_to_one():
-    found = lattice(["▁the", "▁Straße☃"], PIECES)
-    assert found.share.sum(axis=1) == pytest.approx(1)
+    found = lattice([" the", "   Straße☃"], PIECES)
+    share = np.exp(found.log)
+    assert np.add.reduceat(share, found.first[:-1]) == pytest.approx(1)
+    assert np.exp(found.others) + share == pytest.approx(1)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" ab\n☃▁é"), max_size=20), max_size=6))
+def test_counts_are_those_of_the_plain_encoding(spark, texts):
+    plain = Counter(i for t in texts for i in processor(PATH).encode(t))
+    found = piece_counts(spark.createDataFrame([(t,) for t in texts], "text string"), PATH)
+    assert {k: n for k, n in enumerate(found.tolist()) if n} == plain
+
+
+def test_decoded(spark):
+    """Sampled ids give whole texts back; other columns stay, one of the new name is replaced."""
+    rows = [(1, "a  b \u2581☃"), (2, ""), (3, None), (4, " \n\n lead"), (4, " \n\n lead")]
+    found = sampled(spark.createDataFrame(rows, "doc_id long, text string"), PATH, np.ones(processor(PATH).vocab_size()))
+    back = decoded(found.withColumn("Text", found["sample"]), PATH)
+    assert back.columns == [*found.columns, "text"]
+    assert {(r.doc_id, r.text) for r in back.collect()} == {(k, t or "") for k, t in rows}
+    odd = spark.createDataFrame([(1, None), (2, []), (3, processor(PATH).encode("more words"))], "k int, pieces array<int>")
+    assert {r.k: r.out for r in decoded(odd, PATH, "pieces", "out").collect()} == {1: None, 2: "", 3: "more words"}
+    assert decoded(odd.limit(0), PATH, "pieces", "out").count() == 0
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        decoded(spark.createDataFrame([([10**6],)], "ids array<int>"), PATH).collect()
 
 
 def test_odd_rows(spark):
@@ -105,5 +141,11 @@ def test_query(spark):
     plain = Counter(i for d in docs.collect() for i in processor(PATH).encode(d.text))
     assert {k: n for k, n in enumerate(counts.tolist()) if n} == plain
     found = queries()["op10_sentencepiece_sampling"](spark, FOLDER).collect()
-    assert {r.doc_id for r in found} == {d.doc_id for d in docs.select("doc_id").collect()}
-    assert all(r.log_prob <= 0 and r.log_inclusion <= 0 and r.n_pieces > 0 for r in found)
+    pieces, texts = Pieces(PATH, counts), {d.doc_id: d.text for d in docs.collect()}
+    expected = {k: sample([t], [k], pieces)[0] for k, t in texts.items()}
+    assert len(found) == sum(map(len, expected.values()))
+    hashes = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(text) h").collect()}
+    for r in found:
+        ids, log, value, inclusion = expected[r.doc_id][r.sample - 1]
+        assert (r.ids, r.log_prob, r.perturbed, r.log_inclusion) == (ids, log, value, inclusion)
+        assert r.n_pieces == len(ids) and r.text_hash == hashes[r.doc_id]
