@@ -14,7 +14,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ SAMPLES, SEED = 3, 42
 SPACE_MARK = "▁"
 _PART_CHARS = 1_500_000  # of texts sampled at a time
 _MEMORY_WORDS = 200_000  # distinct words a task keeps before it encodes them
+_MEMORY_EDGES = 3_000_000  # 36 bytes each
 _WRITTEN_MARK = np.uint64(0x110000)  # beyond all characters
 _UNIT = re.compile(" +[^ ]*")
 _KINDS = pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
@@ -150,7 +151,7 @@ def units(text: str) -> list[str]:
 class Lattice:
     """Nodes are the characters of the distinct units; `first[node]` is its first edge, `first[node + 1]` ends them.
 
-    Of each edge: the node it leaves and leads to (`size` at a unit's end), its log-probability among all that leave the
+    Of each edge: the node it leaves and leads to (-1 at a unit's end), its log-probability among all that leave the
     node (from the mass behind it), the same of all others together, the sum of probabilities up to it (infinite for a
     node's last), and its id, or -1 - k if it is spelled by row k of `spelled`, which is filled up with -1.
     """
@@ -207,11 +208,11 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
     node, n, ids, log = (np.concatenate(x) for x in zip(*by_length[::-1], strict=True))
     edges = np.argsort(node, kind="stable")
     node, n, ids, log = node[edges], n[edges], ids[edges].astype(np.int32), log[edges]
-    first = np.searchsorted(node, np.arange(size + 1))
-    target = np.where(left[node] == n, size, number[np.minimum(order[node] + n, max(size - 1, 0))]) if size else node
+    first = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=size))])
+    target = np.where(left[node] == n, -1, number[np.minimum(order[node] + n, max(size - 1, 0))]) if size else node
 
     # The log mass of all ways from a node to its unit's end, from the nodes next to the end on.
-    mass = np.zeros(size + 1)
+    mass = np.zeros(size + 1)  # the last, which -1 refers to, stays zero
     cuts = np.searchsorted(left, np.arange(1, (left[-1] if size else 0) + 2))
     for a, b in zip(cuts, cuts[1:], strict=False):
         ea, eb = first[a], first[b]
@@ -241,7 +242,42 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
             at = at + 1
         upto[first[1:] - 1] = np.inf
     starts = number[ends - lengths] if size else np.zeros(0, dtype=np.int64)
-    return Lattice(starts, first, node, target, log, others, upto, ids, spelled)
+    return Lattice(starts, first, node.astype(np.int32), target.astype(np.int32), log, others, upto, ids, spelled)
+
+
+class Memory:
+    """The lattices of a task's distinct units. They are kept from part to part up to _MEMORY_EDGES edges, then begun anew."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.types, self.found = pieces, {}, None
+
+    def units(self, texts: list[str]) -> tuple[Lattice, list[np.ndarray]]:
+        """A lattice that holds all units of the texts, and each text's units as their first nodes."""
+        if self.found is not None and len(self.found.node) > _MEMORY_EDGES:
+            self.types, self.found = {}, None
+        types, known = self.types, len(self.types)
+        rows = [[types.setdefault(w, len(types)) for w in units(text)] for text in texts]
+        if self.found is None or len(types) > known:
+            new = lattice(list(islice(types, known, None)), self.pieces)
+            self.found = new if self.found is None else _joined(self.found, new)
+        return self.found, [self.found.starts[np.array(r, dtype=np.int64)] for r in rows]
+
+
+def _joined(a: Lattice, b: Lattice) -> Lattice:
+    nodes, edges, rows = len(a.first) - 1, len(a.node), len(a.spelled)
+    target = np.where(b.target < 0, b.target, b.target + np.int32(nodes))
+    pairs = (
+        (a.starts, b.starts + nodes),
+        (a.first[:-1], b.first + edges),
+        (a.node, b.node + np.int32(nodes)),
+        (a.target, target),
+        (a.log, b.log),
+        (a.others, b.others),
+        (a.upto, b.upto),
+        (a.ids, np.where(b.ids < 0, b.ids - np.int32(rows), b.ids)),
+        (a.spelled, b.spelled),
+    )
+    return Lattice(*(np.concatenate(x) for x in pairs))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -265,9 +301,8 @@ def _stream(key: np.ndarray, number) -> np.ndarray:
 
 def _walk(found: Lattice, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ancestral paths from `nodes` to the ends of their units: edges in order of the paths, and each path's length."""
-    size = len(found.first) - 1
     counts = np.zeros(len(nodes), dtype=np.int64)
-    live = np.flatnonzero(nodes < size)
+    live = np.flatnonzero(nodes >= 0)
     at, parts = nodes[live], []
     while len(live):
         u = _uniform(keys[live], len(parts))
@@ -279,7 +314,7 @@ def _walk(found: Lattice, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarr
         parts.append((live, edge))
         counts[live] += 1
         at = found.target[edge]
-        live, at = live[at < size], at[at < size]
+        live, at = live[at >= 0], at[at >= 0]
     begin = np.cumsum(counts) - counts
     edges = np.empty(int(counts.sum()), dtype=np.int64)
     for step, (live, edge) in enumerate(parts):
@@ -324,13 +359,10 @@ def _other(found: Lattice, node: int, out: list[int], u: float) -> tuple[int, fl
     return free[at][0], top + math.log(sum(math.exp(log - top) for log in left))
 
 
-def _paths(texts: list[str], keys: list[int], pieces: Pieces, samples: int, seed: int):
+def _paths(texts: list[str], keys: list[int], memory: Memory, samples: int, seed: int):
     """The lattice, the paths of each text by falling value, and the largest value left out of each."""
-    types: dict[str, int] = {}
-    rows = [[types.setdefault(w, len(types)) for w in units(text)] for text in texts]
-    found = lattice(list(types), pieces)
+    found, words = memory.units(texts)
     seeds = np.array([xxhash.xxh64_intdigest(str(k).encode(), seed) for k in keys], dtype=np.uint64)
-    words = [found.starts[np.array(r, dtype=np.int64)] for r in rows]
     values = -np.log(-np.log(_uniform(seeds, 7)))
     paths: list[list[_Path]] = [[] for _ in texts]
     gone: list[dict[tuple[int, int], list[int]]] = [{} for _ in texts]
@@ -401,7 +433,7 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, samples: int = SAM
     They come by falling perturbed value. The inclusion score is the probability that the segmentation's value exceeds
     the largest one left out; it is 1 if there are no others.
     """
-    found, paths, left = _paths(texts, keys, pieces, samples, seed)
+    found, paths, left = _paths(texts, keys, Memory(pieces), samples, seed)
     ids, ends = _ids(found, [p.edge for own in paths for p in own])
     spans = zip([0, *ends.tolist()], ends.tolist(), strict=False)
     return [[(ids[slice(*next(spans))].tolist(), p.log, p.value, _log_inclusion(p.log, left[d])) for p in own] for d, own in enumerate(paths)]
@@ -443,6 +475,22 @@ def _spellings(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(plain), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in plain])])
 
 
+def _spelt(path: str, ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, list[int]]:
+    """The bytes that lists of ids spell, without the space before each, and their bounds. `ends`: of the lists in `ids`."""
+    blob, begin = _spellings(path)
+    ids, cuts = ids.astype(np.int64), np.append(0, ends)
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(begin) - 1):
+        raise ValueError("an id outside the vocabulary")
+    starts, lengths = begin[ids], begin[ids + 1] - begin[ids]
+    heads = cuts[:-1][np.diff(cuts) > 0]
+    heads = heads[(lengths[heads] > 0) & (blob[starts[heads]] == 32)]
+    starts[heads] += 1
+    lengths[heads] -= 1
+    bounds = np.append(0, np.cumsum(lengths))
+    raw = blob[np.repeat(starts - bounds[:-1], lengths) + np.arange(bounds[-1])].tobytes()
+    return raw, bounds[cuts].tolist()
+
+
 def decoded(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """`df` with the text that its column of ids spells, in place of a column of that name.
 
@@ -454,22 +502,10 @@ def decoded(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> D
     place = kept.columns.index(ids)
 
     def run(batches):
-        blob, begin = _spellings(path)
         for batch in batches:
             lists = batch.column(place)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(begin) - 1):
-                raise ValueError("an id outside the vocabulary")
             sizes = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64)
-            cuts = np.concatenate([[0], np.cumsum(sizes)])
-            starts, lengths = begin[flat], begin[flat + 1] - begin[flat]
-            heads = cuts[:-1][sizes > 0]
-            heads = heads[(lengths[heads] > 0) & (blob[starts[heads]] == 32)]
-            starts[heads] += 1
-            lengths[heads] -= 1
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            raw = blob[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
-            spans = ends[cuts].tolist()
+            raw, spans = _spelt(path, lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes))
             missing = lists.is_null().to_pylist()
             texts = [None if gone else raw[a:b].decode(errors="replace") for a, b, gone in zip(spans, spans[1:], missing, strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
@@ -479,7 +515,7 @@ def decoded(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> D
 
 
 def sampled(docs: DataFrame, path: str, counts: np.ndarray, text: str = "text", id: str = "doc_id", samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
-    """doc_id, sample (from 1 by falling value), ids, log_prob, perturbed, log_inclusion.
+    """doc_id, sample (from 1 by falling value), ids, log_prob, perturbed, log_inclusion, round_trip (the ids spell the text).
 
     A null text counts as empty; an empty text has one segmentation, without pieces. A null id is a key like any other.
     Repeated rows get the same samples. A text with fewer segmentations than `samples` gives them all, however unlikely.
@@ -487,24 +523,28 @@ def sampled(docs: DataFrame, path: str, counts: np.ndarray, text: str = "text",
     """
     bounded_batches(docs.sparkSession)
     thin = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    schema = T.StructType.fromDDL("doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double")
+    schema = T.StructType.fromDDL("doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean")
 
     def run(batches):
-        pieces = Pieces(path, counts)
+        memory = Memory(Pieces(path, counts))
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [x.decode() for x in texts_of(batch, "text")]
+            keys, plain = batch.column(0).to_pylist(), texts_of(batch, "text")
+            texts = [x.decode() for x in plain]
             a = 0
             while a < len(texts):
                 b, chars = a, 0
                 while b < len(texts) and (b == a or chars + len(texts[b]) <= _PART_CHARS):
                     chars += len(texts[b])
                     b += 1
-                found, paths, left = _paths(texts[a:b], keys[a:b], pieces, samples, seed)
+                found, paths, left = _paths(texts[a:b], keys[a:b], memory, samples, seed)
                 ids, ends = _ids(found, [p.edge for own in paths for p in own])
+                raw, spans = _spelt(path, ids, ends)
+                own_text = (plain[a + d] for d, own in enumerate(paths) for _ in own)
+                same = [raw[x:y] == text for x, y, text in zip(spans, spans[1:], own_text, strict=False)]
                 rows = [(key, k, p.log, p.value, _log_inclusion(p.log, best)) for key, own, best in zip(keys[a:b], paths, left, strict=True) for k, p in enumerate(own, 1)]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
                 doc, number, *scores = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True))
-                yield pa.RecordBatch.from_arrays([doc, number, lists, *scores], names=schema.names)
+                yield pa.RecordBatch.from_arrays([doc, number, lists, *scores, pa.array(same, pa.bool_())], names=schema.names)
                 a = b
 
     return thin.mapInArrow(run, schema)

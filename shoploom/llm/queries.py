@@ -98,8 +98,8 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
-    found = lattice.decoded(lattice.sampled(docs, path, lattice.piece_counts(docs, path)), path)
-    return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), "ids", "log_prob", "perturbed", "log_inclusion", F.xxhash64("text").alias("text_hash"))
+    found = lattice.sampled(docs, path, lattice.piece_counts(docs, path))
+    return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), "ids", "log_prob", "perturbed", "log_inclusion", "round_trip")
 
 
 @query

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shoploom.llm.lattice import SPACE_MARK, Pieces, decode, decoded, lattice, piece_counts, processor, sample, sampled
+from shoploom.llm.lattice import SPACE_MARK, Memory, Pieces, _ids, _paths, decode, decoded, lattice, piece_counts, processor, sample, sampled
 from shoploom.llm.queries import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -144,8 +144,20 @@ def test_query(spark):
     pieces, texts = Pieces(PATH, counts), {d.doc_id: d.text for d in docs.collect()}
     expected = {k: sample([t], [k], pieces)[0] for k, t in texts.items()}
     assert len(found) == sum(map(len, expected.values()))
-    hashes = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(text) h").collect()}
     for r in found:
         ids, log, value, inclusion = expected[r.doc_id][r.sample - 1]
         assert (r.ids, r.log_prob, r.perturbed, r.log_inclusion) == (ids, log, value, inclusion)
-        assert r.n_pieces == len(ids) and r.text_hash == hashes[r.doc_id]
+        assert r.n_pieces == len(ids) and r.round_trip
+
+
+def test_memory_from_part_to_part_changes_nothing(monkeypatch):
+    texts = ["some words", "Straße ☃ words", "  ☃é☂ more", "some ☂ more words", "", "last"]
+    expected = sample(texts, list(range(6)), PIECES)
+    for most in (10, 10**6):
+        monkeypatch.setattr("shoploom.llm.lattice._MEMORY_EDGES", most)
+        memory = Memory(PIECES)
+        for k, text in enumerate(texts):
+            found, paths, left = _paths([text], [k], memory, 3, 42)
+            ids, ends = _ids(found, [p.edge for p in paths[0]])
+            assert [x.tolist() for x in np.split(ids, ends[:-1])] == [e[0] for e in expected[k]]
+            assert [(p.log, p.value) for p in paths[0]] == [(e[1], e[2]) for e in expected[k]]
