@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ SAMPLES, SEED = 3, 42
 SPACE_MARK = "▁"
 _PART_CHARS = 1_500_000  # of texts sampled at a time
 _MEMORY_WORDS = 200_000  # distinct words a task keeps before it encodes them
-_MEMORY_EDGES = 3_000_000  # 36 bytes each
+_MEMORY_EDGES = 4_000_000  # 36 bytes each
 _WRITTEN_MARK = np.uint64(0x110000)  # beyond all characters
 _UNIT = re.compile(" +[^ ]*")
 _KINDS = pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
@@ -139,12 +139,12 @@ class Pieces:
 
 
 def units(text: str) -> list[str]:
-    """A text as its words, each with the spaces before it; one space is put before the text."""
+    """A text as its words, each with the spaces before it but for one; one space is put before the text."""
     if not text:
         return []
     if "  " in text or text[0] == " " or text[-1] == " ":
-        return _UNIT.findall(" " + text)
-    return [" " + word for word in text.split(" ")]
+        return [unit[1:] for unit in _UNIT.findall(" " + text)]
+    return text.split(" ")
 
 
 @dataclass
@@ -169,11 +169,11 @@ class Lattice:
 
 def lattice(words: list[str], pieces: Pieces) -> Lattice:
     """The lattices of distinct units. Nodes are numbered by their distance from the unit's end, the nearest first."""
-    chars = "".join(words)
+    chars = " " + " ".join(words) if words else ""
     codes = np.frombuffer(chars.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     mark = np.uint64(ord(SPACE_MARK))
     codes = np.where(codes == 32, mark, np.where(codes == mark, _WRITTEN_MARK, codes))  # a mark in the text is no space
-    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
     ends = np.cumsum(lengths)
     size = len(codes)
     left = np.repeat(ends, lengths) - np.arange(size)  # characters up to the unit's end
@@ -245,22 +245,28 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
     return Lattice(starts, first, node.astype(np.int32), target.astype(np.int32), log, others, upto, ids, spelled)
 
 
+def _numbered() -> dict[str, int]:
+    """Gives each key that is asked for its number, from 0."""
+    return defaultdict(count().__next__)
+
+
 class Memory:
     """The lattices of a task's distinct units. They are kept from part to part up to _MEMORY_EDGES edges, then begun anew."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces, self.types, self.found = pieces, {}, None
+        self.pieces, self.types, self.found = pieces, _numbered(), None
 
     def units(self, texts: list[str]) -> tuple[Lattice, list[np.ndarray]]:
         """A lattice that holds all units of the texts, and each text's units as their first nodes."""
         if self.found is not None and len(self.found.node) > _MEMORY_EDGES:
-            self.types, self.found = {}, None
+            self.types, self.found = _numbered(), None
         types, known = self.types, len(self.types)
-        rows = [[types.setdefault(w, len(types)) for w in units(text)] for text in texts]
+        split = [units(text) for text in texts]
+        rows = [np.fromiter(map(types.__getitem__, own), dtype=np.int64, count=len(own)) for own in split]
         if self.found is None or len(types) > known:
             new = lattice(list(islice(types, known, None)), self.pieces)
             self.found = new if self.found is None else _joined(self.found, new)
-        return self.found, [self.found.starts[np.array(r, dtype=np.int64)] for r in rows]
+        return self.found, [self.found.starts[r] for r in rows]
 
 
 def _joined(a: Lattice, b: Lattice) -> Lattice:

@@ -97,7 +97,7 @@ def test_ways_of_hardly_any_probability_come_too():
 
 
 def test_shares_sum_to_one():
-    found = lattice([" the", "   Straße☃"], PIECES)
+    found = lattice(["the", "  Straße☃"], PIECES)
     share = np.exp(found.log)
     assert np.add.reduceat(share, found.first[:-1]) == pytest.approx(1)
     assert np.exp(found.others) + share == pytest.approx(1)
