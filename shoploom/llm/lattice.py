@@ -9,6 +9,7 @@ and the largest of all these opens the next path. Noise is a hash of the row's k
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import re
 from collections import Counter, defaultdict
@@ -29,9 +30,9 @@ from shoploom.llm.common import bounded_batches, texts_of, without
 
 SAMPLES, SEED = 3, 42
 SPACE_MARK = "▁"
-_PART_CHARS = 1_500_000  # of texts sampled at a time
-_MEMORY_WORDS = 200_000  # distinct words a task keeps before it encodes them
-_MEMORY_EDGES = 4_000_000  # 36 bytes each
+_PART_CHARS = 500_000  # of texts sampled at a time
+_MEMORY_WORDS = 100_000  # distinct words a task keeps before it encodes them
+_MEMORY_EDGES = 2_500_000  # 36 bytes each
 _WRITTEN_MARK = np.uint64(0x110000)  # beyond all characters
 _UNIT = re.compile(" +[^ ]*")
 _KINDS = pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
@@ -251,39 +252,59 @@ def _numbered() -> dict[str, int]:
 
 
 class Memory:
-    """The lattices of a task's distinct units. They are kept from part to part up to _MEMORY_EDGES edges, then begun anew."""
+    """The lattices of a task's distinct units, kept from part to part in arrays of _MEMORY_EDGES edges.
+
+    Where a part's new units don't fit in, it is begun anew with that part; a part may need more by itself.
+    """
 
     def __init__(self, pieces: Pieces):
-        self.pieces, self.types, self.found = pieces, _numbered(), None
+        self.pieces = pieces
+        self.clear()
+
+    def clear(self):
+        self.types, self.held, self.used = defaultdict(count().__next__), None, None
 
     def units(self, texts: list[str]) -> tuple[Lattice, list[np.ndarray]]:
         """A lattice that holds all units of the texts, and each text's units as their first nodes."""
-        if self.found is not None and len(self.found.node) > _MEMORY_EDGES:
-            self.types, self.found = _numbered(), None
-        types, known = self.types, len(self.types)
-        split = [units(text) for text in texts]
-        rows = [np.fromiter(map(types.__getitem__, own), dtype=np.int64, count=len(own)) for own in split]
-        if self.found is None or len(types) > known:
-            new = lattice(list(islice(types, known, None)), self.pieces)
-            self.found = new if self.found is None else _joined(self.found, new)
-        return self.found, [self.found.starts[r] for r in rows]
-
-
-def _joined(a: Lattice, b: Lattice) -> Lattice:
-    nodes, edges, rows = len(a.first) - 1, len(a.node), len(a.spelled)
-    target = np.where(b.target < 0, b.target, b.target + np.int32(nodes))
-    pairs = (
-        (a.starts, b.starts + nodes),
-        (a.first[:-1], b.first + edges),
-        (a.node, b.node + np.int32(nodes)),
-        (a.target, target),
-        (a.log, b.log),
-        (a.others, b.others),
-        (a.upto, b.upto),
-        (a.ids, np.where(b.ids < 0, b.ids - np.int32(rows), b.ids)),
-        (a.spelled, b.spelled),
-    )
-    return Lattice(*(np.concatenate(x) for x in pairs))
+        split, known = [units(text) for text in texts], len(self.types)
+        rows = [np.fromiter(map(self.types.__getitem__, own), dtype=np.int64, count=len(own)) for own in split]
+        new = list(islice(self.types, known, None))
+        if self.held is None or new:
+            if not self._add(lattice(new, self.pieces)):
+                self.clear()
+                return self.units(texts)
+        found = Lattice(*(x[:n] for x, n in zip(self.held, self.used, strict=True)))
+        return found, [found.starts[r] for r in rows]
+
+    def _add(self, new: Lattice) -> bool:
+        """False if it does not fit in."""
+        fields = [getattr(new, f.name) for f in dataclasses.fields(Lattice)]
+        if self.held is None:
+            edges = max(_MEMORY_EDGES, len(new.node))
+            rooms = edges // 8, edges // 2, edges, edges, edges, edges, edges, edges, edges // 64
+            self.held = [np.empty((max(room, len(x)), *x.shape[1:]), x.dtype) for room, x in zip(rooms, fields, strict=True)]
+            self.used = [0, 1, *[0] * 7]
+        starts, first, node, _, _, _, _, _, spelled = self.used
+        nodes = first - 1
+        moved = (
+            new.starts + nodes,
+            new.first + node,
+            new.node + np.int32(nodes),
+            np.where(new.target < 0, new.target, new.target + np.int32(nodes)),
+            new.log,
+            new.others,
+            new.upto,
+            np.where(new.ids < 0, new.ids - np.int32(spelled), new.ids),
+            new.spelled,
+        )
+        begin = [n - (k == 1) for k, n in enumerate(self.used)]  # the last of `first` is the next one's beginning
+        ends = [n + len(x) for n, x in zip(begin, moved, strict=True)]
+        if any(n > len(x) for n, x in zip(ends, self.held, strict=True)):
+            return False
+        for x, a, b, part in zip(self.held, begin, ends, moved, strict=True):
+            x[a:b] = part
+        self.used = ends
+        return True
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
