@@ -2,6 +2,7 @@
 
 from oracle import models as check
 from shoploom.catalog.registry import register
+from shoploom.plans import staging
 
 _HIDDEN = ["sampled_signature", "sampled_base", "sampled_craftsman", "sampled_silvan", "household_key"]
 
@@ -10,9 +11,9 @@ def _all(name, plan, cte, exact=True):
     register(name, plan, f"SELECT * FROM {cte}", exact)
 
 
-_all("k01_stage_orders", lambda t: t.orders, "k01")
-_all("k02_stage_order_lines", lambda t: t.lines, "k02")
-_all("k03_stage_customers", lambda t: t.customers, "k03")
+_all("k01_stage_orders", lambda t: staging.stage_orders(t.by_store(t.orders_feed), t.stores), "k01")
+_all("k02_stage_order_lines", lambda t: staging.stage_order_lines(t.by_store(t.lines_feed), t.stores), "k02")
+_all("k03_stage_customers", lambda t: staging.stage_customers(t.by_store(t.customers_feed)), "k03")
 _all("k04_stage_web_events", lambda t: t.events.drop("ecommerce", "event_params", "user_properties"), "k04_full", exact=False)
 _all("k05_stage_social_ads", lambda t: t.social_ads, "k05")
 _all("k06_stage_search_ads", lambda t: t.search_ads, "k06")

@@ -98,6 +98,12 @@ class Shop:
         self.paths.clear()
 
     # feeds
+    stores = STORES
+
+    def by_store(self, df: DataFrame) -> dict[str, DataFrame]:
+        """A feed as its stores deliver it."""
+        return feed.by_store(df, [st.name for st in STORES])
+
     @cached_property
     def orders_feed(self) -> DataFrame:
         return feed.orders(self.spark, self.folder)

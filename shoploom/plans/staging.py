@@ -1,17 +1,19 @@
 """Staging: one row per order, line, customer, event, ad day, mail and shipment, cleaned and classified.
 
-Feeds carry the store name in `store` (see `operators.relational.union_stores`).
+Orders, lines and customers come as one feed per store (`{store: feed}`), which are stacked here: columns that a store
+lacks are NULL, of the type the other store has. A single frame with the name in `store` will do as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoploom.functions import exprs as x
 from shoploom.functions import rules
+from shoploom.operators.relational import union_stores
 from shoploom.operators.windows import newest_per
 from shoploom.sources.tables import shards_since
 
@@ -21,6 +23,19 @@ def per_store(stores: Sequence[rules.Store], attribute: str) -> Column:
     return x.ladder([(F.col("store") == s.name, getattr(s, attribute)) for s in stores])
 
 
+Feeds = DataFrame | Mapping[str, DataFrame]
+
+
+def stacked(feeds: Feeds, stores: Sequence[rules.Store]) -> DataFrame:
+    """All stores' rows with the store's name. A feed of a store without settings is refused."""
+    if isinstance(feeds, DataFrame):
+        return feeds
+    unknown = sorted(set(feeds) - {s.name for s in stores})
+    if unknown or not feeds:
+        raise ValueError(f"no settings for the stores {unknown}" if unknown else "no feed at all")
+    return union_stores(feeds)
+
+
 # Column names.
 _ADDRESS = {
     "address_1": "{}_address_line1", "address_2": "{}_address_line2", "city": "{}_address_city",
@@ -30,7 +45,7 @@ _ADDRESS = {
 
 
 def stage_orders(
-    orders: DataFrame,
+    orders: Feeds,
     stores: Sequence[rules.Store] = rules.STORES,
     tz: str = rules.PACIFIC,
     newest_first: Sequence[str] = ("_fivetran_synced",),
@@ -42,7 +57,7 @@ def stage_orders(
     def zero(name):
         return F.coalesce(F.col(name), F.lit(0).cast("decimal(18,2)")).alias(name)
 
-    newest = newest_per(orders, ["order_id", "store"], newest_first)
+    newest = newest_per(stacked(orders, stores), ["order_id", "store"], newest_first)
     staged = newest.select(
         "order_id", "customer_id", "user_id", F.lower("email").alias("email"),
         *[local(f"{t}_timestamp").alias(f"{t}_at") for t in ("processed", "created", "cancelled", "closed", "updated")],
@@ -97,9 +112,9 @@ def first_word(title: str) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(title, r"^(.+?)\s", 1), F.lit("")), F.col(title))
 
 
-def stage_order_lines(lines: DataFrame, stores: Sequence[rules.Store] = rules.STORES) -> DataFrame:
+def stage_order_lines(lines: Feeds, stores: Sequence[rules.Store] = rules.STORES) -> DataFrame:
     """Classified lines with quantity and revenue split by type. Lines are not deduplicated."""
-    named = lines.select(
+    named = stacked(lines, stores).select(
         "order_line_id", "order_id", "product_id", "variant_id", "sku", "title", F.col("name").alias("line_item_name"),
         "quantity", F.col("variant_price").alias("price"), F.col("price_pres_amount").alias("line_total_gross"),
         F.col("total_discount_pres_amount").alias("total_discount"), "vendor", "variant_title", "is_gift_card",
@@ -123,15 +138,16 @@ def stage_order_lines(lines: DataFrame, stores: Sequence[rules.Store] = rules.ST
 
 
 def stage_customers(
-    customers: DataFrame,
+    customers: Feeds,
     tz: str = rules.PACIFIC,
     newest_first: Sequence[str] = ("updated_at", "_fivetran_synced"),
+    stores: Sequence[rules.Store] = rules.STORES,
 ) -> DataFrame:
     """Newest record per lower-case email, with customer group and type from the tags."""
     def local(name):
         return x.civil_time(name, tz)
 
-    named = customers.filter(F.col("email").isNotNull()).select(
+    named = stacked(customers, stores).filter(F.col("email").isNotNull()).select(
         "customer_id", F.lower("email").alias("email"), "first_name", "last_name", "phone", "note", "account_state",
         "is_tax_exempt", "is_verified_email", "currency", "marketing_consent_state", "marketing_opt_in_level",
         "marketing_consent_updated_at", local("created_timestamp").alias("created_at"),

@@ -6,6 +6,8 @@ feeds can be written in SQL. Each feed reads its tables once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -226,6 +228,16 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     return schemas.conform(out, schemas.CUSTOMERS)
 
 
+# Fixed value: the column that the commercial store's customers lack.
+LACKING = {"commercial": ("lifetime_abandoned_checkouts",)}
+
+
+def by_store(feed: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
+    """A feed as each store delivers it: without the store's name and the columns that the store lacks."""
+    lacking = LACKING if "lifetime_abandoned_checkouts" in feed.columns else {}
+    return {name: feed.filter(F.col("store") == name).drop("store", *lacking.get(name, ())) for name in names}
+
+
 def _entry(key: str, string=None, integer=None, double=None) -> Column:
     def part(value, kind):
         return (F.lit(None) if value is None else value).cast(kind)

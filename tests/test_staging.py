@@ -1,7 +1,9 @@
+import pytest
 from helpers import by, day, frame, ts
 from shoploom.plans import staging as s
 from shoploom.operators.relational import union_stores
 from shoploom.sources import schemas
+from shoploom.sources.sample_shop import by_store
 from pyspark.sql import functions as F
 
 
@@ -86,6 +88,30 @@ def test_union_pads_missing_columns(spark):
     assert got["regular"]["abandoned"] == 2 and got["commercial"]["abandoned"] is None
 
 
+def test_stages_stack_the_stores(spark):
+    """One feed per store gives what the tagged rows of both give; a column that a store lacks is NULL, in its type."""
+    rows = [dict(customer_id=n, email=f"{e}@x.com", updated_timestamp=ts(t), lifetime_abandoned_checkouts=a, store=store)
+            for n, e, t, a, store in ((1, "A", "2024-01-01 00:00", 3, "regular"), (2, "a", "2024-01-02 00:00", None, "commercial"),
+                                      (3, "b", "2024-01-01 00:00", 4, "regular"), (4, "c", "2024-01-01 00:00", None, "commercial"))]
+    tagged = frame(spark, schemas.CUSTOMERS, rows)
+    feeds = by_store(tagged, ["regular", "commercial"])
+    assert "lifetime_abandoned_checkouts" not in feeds["commercial"].columns and "store" not in feeds["regular"].columns
+    whole, got = s.stage_customers(tagged), s.stage_customers(feeds)
+    assert got.schema["lifetime_abandoned_checkouts"].dataType == whole.schema["lifetime_abandoned_checkouts"].dataType
+    assert by(got, "email") == by(whole.select(got.columns), "email")
+    assert by(s.stage_customers({"commercial": feeds["commercial"], "regular": feeds["regular"]}), "email")["b@x.com"]["lifetime_abandoned_checkouts"] == 4
+
+    tagged = frame(spark, schemas.ORDERS, [order(1, note="old"), order(1, synced="2024-01-06 00:00"), order(1, "commercial"), order(2)])
+    feeds = by_store(tagged, ["regular", "commercial"])
+    assert by(s.stage_orders(feeds), "order_id", "store") == by(s.stage_orders(tagged), "order_id", "store")
+    empty = feeds["commercial"].limit(0)
+    assert set(by(s.stage_orders(feeds | {"commercial": empty}), "order_id", "store")) == {(1, "regular"), (2, "regular")}
+    with pytest.raises(ValueError, match="outlet"):
+        s.stage_orders(feeds | {"outlet": empty})
+    with pytest.raises(ValueError, match="no feed"):
+        s.stage_order_lines({})
+
+
 def event(n, shard="20240105", params=(), **more):
     entries = [(k, (v if t == "s" else None, v if t == "i" else None, v if t == "d" else None)) for k, t, v in params]
     return dict(event_date=shard, event_bundle_sequence_id=n, event_timestamp=1704423600000000, event_name="purchase", event_params=entries) | more
