@@ -52,3 +52,13 @@ def test_ties_and_empty(spark):
 def test_states_are_merged_before_the_shuffle(rows):
     plan = frequent.states(rows, ["k"], {"s": "v"}, TRACKED)._jdf.queryExecution().executedPlan().toString()
     assert "partial_approx_top_k_accumulate" in plan.split("Exchange", 1)[1]
+
+
+def test_usual_values_need_one_state_per_key(spark):
+    """One state per key and map task travels, not one per key and day, and the items of a state are listed once."""
+    df = spark.createDataFrame([("a", d, None if d % 3 == 0 else f"v{d % 2}") for d in range(40)] + [(None, 1, "z")], "k string, order_date int, v string")
+    found = frequent.usual_values(df, "k", {"u": "v", "n": "v"}, {"u": "v IS NOT NULL"})
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, most_common(df, "k", {"u": "v", "n": "v"}, {"u": F.expr("v IS NOT NULL")}).select("k", "u", "n").collect()), key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "approx_top_k_combine" not in plan
+    assert plan.count("approx_top_k_estimate") == 2
