@@ -161,3 +161,36 @@ def test_memory_from_part_to_part_changes_nothing(monkeypatch):
             ids, ends = _ids(found, [p.edge for p in paths[0]])
             assert [x.tolist() for x in np.split(ids, ends[:-1])] == [e[0] for e in expected[k]]
             assert [(p.log, p.value) for p in paths[0]] == [(e[1], e[2]) for e in expected[k]]
+
+
+def test_recurring_units_stay_in_memory(monkeypatch):
+    """Units that come once don't push out one of every part: it is built when met and when met again, no more."""
+    built = Counter()
+
+    def counting(words, pieces):
+        built.update(words)
+        return lattice(words, pieces)
+
+    monkeypatch.setattr("shoploom.llm.lattice.lattice", counting)
+    monkeypatch.setattr("shoploom.llm.lattice._MEMORY_EDGES", 1500)
+    memory = Memory(PIECES)
+    for part in range(12):
+        memory.units(["often " + " ".join(f"{part}x{k}" for k in range(40))])
+    assert built["often"] <= 2 and built["3x7"] == 1
+
+
+def test_units_longer_than_sums_reach():
+    """Behind `depth` characters masses are taken in logs: the same shares and sums."""
+    words, near = ["the", "x" * 300, "  Straße☃", ""], Pieces(PATH, np.ones(len(PIECES.logs)))
+    expected, near.depth = lattice(words, near), 2
+    found = lattice(words, near)
+    for name in ("log", "others", "share"):
+        assert getattr(found, name) == pytest.approx(getattr(expected, name), abs=1e-9)
+    assert expected.ids.tolist() == found.ids.tolist()
+
+
+@pytest.mark.parametrize("texts", [["a b a c d e f g", "b"], ["", None, " ", "x  y x"], ["a " * 9 + "b"] * 3])
+def test_counts_of_words_that_come_equally_often(spark, texts):
+    plain = Counter(i for t in texts for i in processor(PATH).encode(t or ""))
+    found = piece_counts(spark.createDataFrame([(t,) for t in texts], "text string"), PATH)
+    assert {k: n for k, n in enumerate(found.tolist()) if n} == plain
