@@ -6,7 +6,7 @@ import pytest
 
 from helpers import frame, ts
 from shoploom import catalog
-from shoploom.catalog import reads
+from shoploom.catalog import reads, registry
 from shoploom.catalog.shop import Shop
 from shoploom.plans import customers as c
 from shoploom.session import configure, shared_folder
@@ -101,3 +101,12 @@ def test_tasks_take_on_little(spark):
     configure(session)
     assert session.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2m"
+
+
+@pytest.mark.parametrize("query", ["l08_compare_lifetime"])
+def test_comparisons_and_windows_write_few_columns(spark, folder, query):
+    """Before, these queries had the whole order fact written, and all columns of classified orders."""
+    columns = reads.columns_of(query)
+    assert columns is not None and len(columns) < len(c.FCT_ORDERS) / 2
+    found = _sorted(catalog.queries()[query](spark, folder))
+    assert found == _sorted(registry.comparable(registry.PLANS[query](Shop(spark, folder))))
