@@ -103,10 +103,15 @@ def test_tasks_take_on_little(spark):
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2m"
 
 
-@pytest.mark.parametrize("query", ["l08_compare_lifetime"])
+@pytest.mark.parametrize("query", ["l08_compare_lifetime", "l06_compare_metrics", "l05_compare_counts"])
 def test_comparisons_and_windows_write_few_columns(spark, folder, query):
     """Before, these queries had the whole order fact written, and all columns of classified orders."""
     columns = reads.columns_of(query)
     assert columns is not None and len(columns) < len(c.FCT_ORDERS) / 2
     found = _sorted(catalog.queries()[query](spark, folder))
     assert found == _sorted(registry.comparable(registry.PLANS[query](Shop(spark, folder))))
+
+
+def test_queries_that_share_a_step_write_the_same_columns():
+    of = reads.columns_of
+    assert of("l07_compare_distribution") == of("l06_compare_metrics_tolerance") == of("l06_compare_metrics")
