@@ -103,7 +103,7 @@ def test_tasks_take_on_little(spark):
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2m"
 
 
-@pytest.mark.parametrize("query", ["l08_compare_lifetime", "l06_compare_metrics", "l05_compare_counts"])
+@pytest.mark.parametrize("query", ["l08_compare_lifetime", "l06_compare_metrics", "l05_compare_counts", "e16_trailing_sum"])
 def test_comparisons_and_windows_write_few_columns(spark, folder, query):
     """Before, these queries had the whole order fact written, and all columns of classified orders."""
     columns = reads.columns_of(query)
@@ -115,3 +115,4 @@ def test_comparisons_and_windows_write_few_columns(spark, folder, query):
 def test_queries_that_share_a_step_write_the_same_columns():
     of = reads.columns_of
     assert of("l07_compare_distribution") == of("l06_compare_metrics_tolerance") == of("l06_compare_metrics")
+    assert {tuple(of(f"e{n}")) for n in ("09_lag", "11_lag_n", "12_days_since_last", "14_moving_average", "15_moving_stddev")} == {tuple(of("e16_trailing_sum"))}
