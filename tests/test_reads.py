@@ -103,7 +103,7 @@ def test_tasks_take_on_little(spark):
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2m"
 
 
-@pytest.mark.parametrize("query", ["l08_compare_lifetime", "l06_compare_metrics", "l05_compare_counts", "e16_trailing_sum"])
+@pytest.mark.parametrize("query", ["l08_compare_lifetime", "l06_compare_metrics", "l05_compare_counts", "e16_trailing_sum", "e13_lag_of_rank"])
 def test_comparisons_and_windows_write_few_columns(spark, folder, query):
     """Before, these queries had the whole order fact written, and all columns of classified orders."""
     columns = reads.columns_of(query)
