@@ -6,6 +6,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from shoploom import session
+from shoploom.sources import tables
 from shoploom.sources.tables import POINTER, current_version, read_table, write_table
 
 
@@ -65,3 +67,33 @@ def test_plain_folders_are_read_as_they_are(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "p"))
     assert read_table(spark, str(tmp_path / "p")).count() == 5
     assert write_table(spark.range(6), str(tmp_path / "p")).count() == 6 == read_table(spark, str(tmp_path / "p")).count()
+
+
+def test_a_table_written_in_several_runs_is_whole(spark, tmp_path):
+    """A third of the rows has one value, some have none; each run writes a stretch of the values."""
+    value = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.concat(F.lit("v"), (F.col("id") % 50).cast("string")))
+    df = spark.range(3000).select("id", value.alias("v"), (F.col("id") % 2).alias("w"))
+    stretches = tables._stretches(df, ["v", "w"], 4)
+    assert len(stretches) > 2 and sum(s.count() for s in stretches) == 3000
+    places = [sorted([(r.v is not None, r.v or "", r.w) for r in s.collect()]) for s in stretches]
+    ends = [(p[0], p[-1]) for p in places if p]
+    assert all(before[1] < after[0] for before, after in zip(ends, ends[1:], strict=False))
+    made = tables.write_table(df, f"{tmp_path}/t", cluster_by=["v", "w"], runs=4)
+    assert sorted(map(tuple, made.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    none = tables.write_table(df.limit(0), f"{tmp_path}/none", cluster_by=["v"], runs=4)
+    assert none.count() == 0 and none.columns == df.columns
+
+
+def test_what_a_write_has_shuffled_goes_with_it(spark, tmp_path):
+    """Before, the files stayed until the driver collected garbage."""
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {b for b in blocks.split() if b.endswith(".data")}
+
+    before = shuffled()
+    df = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    session.write_files(df, f"{tmp_path}/files")
+    tables.write_table(df, f"{tmp_path}/table", cluster_by=["k"])
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    assert spark.read.parquet(f"{tmp_path}/files").count() == 7
