@@ -102,3 +102,16 @@ def test_a_cluster_needs_a_shared_folder():
         session.shared_folder(Spark)
     Spark.conf["spark.checkpoint.dir"] = "hdfs://cluster/cuts/"
     assert session.shared_folder(Spark) == "hdfs://cluster/cuts"
+
+
+def test_rows_are_shuffled_once_for_running_sums(ranged):
+    """Before, they were joined to the sums per range, which cost a shuffle more."""
+    plan = ranged.running({"s": F.col("v")})._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"\bJoin ", plan)
+
+
+def test_columns_beside_running_sums(rows, ranged):
+    beside = rows.groupBy("k").agg(F.max("id").alias("last"))
+    found = ranged.running({"s": F.lit(1)}, beside=beside)
+    want = rows.withColumn("last", F.max("id").over(W.partitionBy("k")))
+    assert pairs(found, "last") == pairs(want, "last") and set(found.columns) == {*rows.columns, "last", "s"}
