@@ -1,6 +1,7 @@
 """Order facts with only the columns that a query reads."""
 
 import datetime as dt
+import re
 
 import pytest
 
@@ -116,3 +117,17 @@ def test_queries_that_share_a_step_write_the_same_columns():
     of = reads.columns_of
     assert of("l07_compare_distribution") == of("l06_compare_metrics_tolerance") == of("l06_compare_metrics")
     assert {tuple(of(f"e{n}")) for n in ("09_lag", "11_lag_n", "12_days_since_last", "14_moving_average", "15_moving_stddev")} == {tuple(of("e16_trailing_sum"))}
+
+
+def _around_the_first_join(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above, kind, below = re.split(r"\bJoin (\w+)", plan, maxsplit=1)
+    return above, kind, below
+
+
+def test_lines_are_typed_behind_the_join(spark, folder):
+    """Before, types and the amounts split by them were shuffled with each line."""
+    columns = ["line_item_type", "sample_type", "color", "accessories_revenue"]
+    above, _, below = _around_the_first_join(Shop(spark, folder).fct_order_lines.select(*columns))
+    for made in columns:
+        assert f"AS {made}#" in above and f"AS {made}#" not in below
