@@ -131,3 +131,16 @@ def test_lines_are_typed_behind_the_join(spark, folder):
     above, _, below = _around_the_first_join(Shop(spark, folder).fct_order_lines.select(*columns))
     for made in columns:
         assert f"AS {made}#" in above and f"AS {made}#" not in below
+
+
+def test_skus_are_looked_up_before_lines_carry_their_order(spark, folder):
+    """Before, lines with the whole context of their order were shuffled by sku."""
+    shop = Shop(spark, folder)
+    _, kind, below = _around_the_first_join(shop.enriched_lines)
+    assert kind == "Inner" and "Join LeftOuter" not in below
+    written = next(p for p in shop.paths if "looked_up_lines" in p)
+    assert {"sku", "product_line", "order_line_id"} < set(spark.read.parquet(written).columns)
+    assert shop.enriched_lines.columns == shop.report_lines.columns
+    assert _sorted(shop.enriched_lines) == _sorted(shop.report_lines) != []
+    narrow = Shop(spark, folder, reads.columns_of("b19_lookup_with_fallback"))
+    assert narrow.enriched_lines is narrow.report_lines
