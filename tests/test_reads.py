@@ -8,6 +8,7 @@ import pytest
 from helpers import frame, ts
 from shoploom import catalog
 from shoploom.catalog import reads, registry
+from shoploom.catalog import shop as catalog_shop
 from shoploom.catalog.shop import Shop
 from shoploom.plans import customers as c
 from shoploom.session import configure, shared_folder
@@ -144,3 +145,10 @@ def test_skus_are_looked_up_before_lines_carry_their_order(spark, folder):
     assert _sorted(shop.enriched_lines) == _sorted(shop.report_lines) != []
     narrow = Shop(spark, folder, reads.columns_of("b19_lookup_with_fallback"))
     assert narrow.enriched_lines is narrow.report_lines
+
+
+def test_the_line_table_is_dealt_in_runs(spark, folder, monkeypatch):
+    monkeypatch.setattr(catalog_shop, "DEALT_AT_ONCE", 1500)
+    shop = Shop(spark, folder)
+    table = shop.table_of("fct_order_lines")
+    assert _sorted(table.select(*shop.fct_order_lines.columns)) == _sorted(shop.fct_order_lines) != []
